@@ -31,6 +31,7 @@ def rank_share(
     dense: bool = False,
     nulls: str = "last",
     bucket_rows: int = BUCKET_ROWS,
+    known_keys: int | None = None,
 ) -> DataFrame:
     """Adds rank() (or dense_rank()) and cume_dist() by group in ascending order of the order columns.
 
@@ -39,12 +40,19 @@ def rank_share(
     (chosen by hash, so a task that is run again picks the same ones), each bucket is summed in its own task, and the
     rows before the bucket are added. No group is sorted whole in one task, and nothing is approximate.
     For a descending key pass its negation as a column.
+
+    `df` is read twice (keys only, then whole), so stage it when it is expensive to make. `known_keys` is a proven
+    upper bound of the number of distinct (group, order key) pairs, e.g. the row count of a staged table; when it
+    fits one bucket, no group needs to be cut.
     """
     if nulls not in ("last", "first"):
         raise ValueError("nulls must be 'last' or 'first'")
     groups, order = list(groups), list(order)
     folded = df.groupBy(*groups, *order).agg(F.count(F.lit(1)).alias("__n"))
-    ranked = _running_ranks(folded, groups, order, nulls, bucket_rows)
+    if known_keys is not None and known_keys <= bucket_rows:
+        ranked = _ranks_in_one_bucket(folded, groups, order, nulls)
+    else:
+        ranked = _running_ranks(folded, groups, order, nulls, bucket_rows)
     out = []
     if rank:
         value = F.col("__keys") if dense else F.col("__upto") - F.col("__n") + 1
@@ -54,6 +62,20 @@ def rank_share(
     return join_on_keys(df, ranked.select(*groups, *order, *out), groups + order)
 
 
+def _ordering(order: list[str], nulls: str) -> list[Column]:
+    return [F.col(o).asc_nulls_last() if nulls == "last" else F.col(o).asc_nulls_first() for o in order]
+
+
+def _ranks_in_one_bucket(folded: DataFrame, groups: list[str], order: list[str], nulls: str) -> DataFrame:
+    whole = Window.partitionBy(*groups)
+    upto = whole.orderBy(*_ordering(order, nulls)).rowsBetween(Window.unboundedPreceding, 0)
+    return folded.withColumns({
+        "__upto": F.sum("__n").over(upto),
+        "__keys": F.count(F.lit(1)).over(upto),
+        "__total": F.sum("__n").over(whole),
+    })
+
+
 def _running_ranks(folded: DataFrame, groups: list[str], order: list[str], nulls: str, bucket_rows: int) -> DataFrame:
     key = _sort_key(order, nulls)
     cuts = (
@@ -77,8 +99,8 @@ def _running_ranks(folded: DataFrame, groups: list[str], order: list[str], nulls
             F.sum("__rows").over(Window.partitionBy(*groups)).alias("__total"),
         )
     )
-    ordering = [F.col(o).asc_nulls_last() if nulls == "last" else F.col(o).asc_nulls_first() for o in order]
-    inside = Window.partitionBy(*groups, "__bucket").orderBy(*ordering).rowsBetween(Window.unboundedPreceding, 0)
+    inside = (Window.partitionBy(*groups, "__bucket").orderBy(*_ordering(order, nulls))
+              .rowsBetween(Window.unboundedPreceding, 0))
     return (
         join_on_keys(bucketed, totals, groups + ["__bucket"])
         .withColumn("__upto", F.col("__rows_before") + F.sum("__n").over(inside))

@@ -2,6 +2,10 @@
 
 Tables are passed as a mapping of name to DataFrame (see quizlens.schemas for the columns). All functions work on all
 courses at once; restrict the tables to one course to get what a run for one load gives.
+
+The structure and the first-attempt rows are read several times by what follows; `structure_table` and
+`attempts_table` write them once to the shared folder. Answer rows carry only keys and numbers; names, prompts and
+session dates are joined to the finished counts.
 """
 
 from __future__ import annotations
@@ -16,12 +20,15 @@ from quizlens.operators.frames import join_on_keys
 from quizlens.operators.marts import mart_heat, mart_str, quartile_pairs
 from quizlens.operators.ranking import latest_only, rank_share, strong, sum_where, weak
 from quizlens.operators.reliability import user_fold, with_question_variance
+from quizlens.sinks.stage import stage, staged_rows
 
 Tables = Mapping[str, DataFrame]
 
 SUMMATIVE = 7  # fixed value: type id of a summative assessment
 
 NODE = ["bid", "mid", "m_ord", "m_name", "lid", "l_ord", "l_name", "iid", "i_ord", "i_name"]
+NODE_KEYS = ["bid", "mid", "m_ord", "lid", "l_ord", "iid", "i_ord"]
+NODE_NAMES = ["m_name", "l_name", "i_name"]
 TEST = ["course_id", "bid", "m_ord", "mid", "l_ord", "lid", "i_ord", "iid", "item_id", "assessment_ext_id"]
 
 
@@ -125,60 +132,83 @@ def answered(t: Tables) -> DataFrame:
     return t["caq_event"].where(F.col("question_ext_id").isNotNull())
 
 
-def first_attempt_rows(t: Tables, rule: str = "both_minima", estimator: str = "sample") -> DataFrame:
-    """Answers of the first attempt with resp_sum (learner's total in the test) and question_var."""
+def first_attempt_rows(t: Tables, rule: str = "both_minima") -> DataFrame:
+    """Answers of the first attempt with resp_sum, the learner's total in the test."""
     rows = first_attempts(answered(t), placed_answers(t), rule=rule).select(
         "course_id", "item_id", "assessment_ext_id", "question_ext_id", "response_score", "user_ext_id",
         "response_ext_id")
     # one learner's answers in one test: small by nature, so a window
     total = Window.partitionBy("course_id", "item_id", "assessment_ext_id", "user_ext_id")
-    rows = rows.withColumn("resp_sum", F.sum("response_score").over(total))
-    return with_question_variance(rows, ["course_id", "item_id", "assessment_ext_id", "question_ext_id"],
+    return rows.withColumn("resp_sum", F.sum("response_score").over(total))
+
+
+def structure_table(t: Tables) -> DataFrame:
+    return stage(graded_structure(t), "structure")
+
+
+def attempts_table(t: Tables, rule: str = "both_minima") -> DataFrame:
+    return stage(first_attempt_rows(t, rule), "attempts")
+
+
+def with_item_variance(attempts: DataFrame, estimator: str = "sample") -> DataFrame:
+    """question_var: variance of the score over all first attempts at a question."""
+    return with_question_variance(attempts, ["course_id", "item_id", "assessment_ext_id", "question_ext_id"],
                                   estimator=estimator)
 
 
 def answers_on_structure(struc: DataFrame, attempts: DataFrame) -> DataFrame:
-    return struc.join(attempts, ["course_id", "item_id", "assessment_ext_id", "question_ext_id"])
+    """First-attempt rows at their place in the tree."""
+    places = struc.select(*TEST, "question_ext_id", "qid", "aq_ord", "max_aqord")
+    return places.join(attempts, ["course_id", "item_id", "assessment_ext_id", "question_ext_id"])
+
 
+def user_range_q(struc: DataFrame, attempts: DataFrame) -> DataFrame:
+    """Answers with completeness markers k_q and max_aqord and the learner's rank and rank share in the item.
 
-def user_range_q(joined: DataFrame) -> DataFrame:
-    """Answers with completeness markers k_q and max_aqord and the learner's rank and rank share in the item."""
+    `attempts` is a staged table.
+    """
     user = Window.partitionBy(*TEST, "user_ext_id")
-    marked = joined.withColumns({
+    marked = answers_on_structure(struc, attempts).withColumns({
         "k_q": F.count(F.lit(1)).over(user),
         "max_aqord": F.max("max_aqord").over(user),
     })
-    return rank_share(marked, ["item_id"], ["resp_sum", "user_ext_id"])
+    return rank_share(marked, ["item_id"], ["resp_sum", "user_ext_id"], known_keys=staged_rows(attempts))
 
 
-def user_range_a(joined: DataFrame, formula: str = "smoothed", estimator: str = "sample") -> DataFrame:
+def user_range_a(struc: DataFrame, attempts: DataFrame, formula: str = "smoothed",
+                 estimator: str = "sample") -> DataFrame:
     """One row per learner and test with the reliability; sx2 is over the assessment, across branches."""
-    return user_fold(
-        joined, [*TEST, "user_ext_id"], ["course_id", "assessment_ext_id"], formula=formula, estimator=estimator,
-        cname=F.max("cname"), m_name=F.max("m_name"), l_name=F.max("l_name"), i_name=F.max("i_name"),
-        max_aqord=F.max("max_aqord"),
-    )
+    joined = answers_on_structure(struc, with_item_variance(attempts, estimator))
+    return user_fold(joined, [*TEST, "user_ext_id"], ["course_id", "assessment_ext_id"], formula=formula,
+                     estimator=estimator, max_aqord=F.max("max_aqord"))
 
 
-def mart_str_provider(ranged: DataFrame) -> DataFrame:
-    mart = mart_str(ranged, ["course_id", "cname", *NODE, "assessment_ext_id"], "user_ext_id",
-                    F.max("max_aqord") + 1)
-    return mart.withColumns({"platform_id": F.lit(1), "subiid": F.col("iid"), "subi_ord": F.col("i_ord"),
-                             "subi_name": F.col("i_name")})
+def _names(struc: DataFrame) -> DataFrame:
+    """Names of the nodes of the tree; (branch, item) fixes them."""
+    return struc.groupBy("course_id", "bid", "iid").agg(*[F.max(c).alias(c) for c in ("cname", *NODE_NAMES)])
 
 
-def mart_heat_provider(ranged: DataFrame) -> DataFrame:
-    mart = mart_heat(
-        ranged, ["course_id", "cname", *NODE, "aq_ord", "assessment_ext_id", "question_ext_id"], "user_ext_id",
-        strt=F.max("strt"), fin=F.max("fin"), q_update_ts=F.min("q_update_ts"), prompt=F.max("prompt"),
-        k_min=F.min("k_q"), k_max=F.max("k_q"), max_aqord1=F.max("max_aqord") + 1,
-    )
+def _with_sub_item(mart: DataFrame) -> DataFrame:
     return mart.withColumns({"platform_id": F.lit(1), "subiid": F.col("iid"), "subi_ord": F.col("i_ord"),
                              "subi_name": F.col("i_name")})
 
 
-AUD_ROW = ["course_id", "bid", "question_ext_id", "m_ord", "m_name", "l_ord", "l_name", "i_ord", "iid", "i_name",
-           "k_q", "max_aqord1", "aq_ord"]
+def mart_str_provider(ranged: DataFrame, struc: DataFrame) -> DataFrame:
+    mart = mart_str(ranged, ["course_id", *NODE_KEYS, "assessment_ext_id"], "user_ext_id", F.max("max_aqord") + 1)
+    return _with_sub_item(join_on_keys(mart, _names(struc), ["course_id", "bid", "iid"]))
+
+
+def mart_heat_provider(ranged: DataFrame, struc: DataFrame) -> DataFrame:
+    keys = ["course_id", *NODE_KEYS, "aq_ord", "assessment_ext_id", "question_ext_id"]
+    mart = mart_heat(ranged, keys, "user_ext_id", k_min=F.min("k_q"), k_max=F.max("k_q"),
+                     max_aqord1=F.max("max_aqord") + 1)
+    texts = struc.groupBy(*keys).agg(
+        F.max("cname").alias("cname"), *[F.max(c).alias(c) for c in NODE_NAMES], F.max("strt").alias("strt"),
+        F.max("fin").alias("fin"), F.min("q_update_ts").alias("q_update_ts"), F.max("prompt").alias("prompt"))
+    return _with_sub_item(join_on_keys(mart, texts, keys))
+
+
+AUD_ROW = ["course_id", "bid", "question_ext_id", "m_ord", "l_ord", "i_ord", "iid", "k_q", "max_aqord1", "aq_ord"]
 
 
 def options_of_questions(t: Tables) -> DataFrame:
@@ -205,8 +235,8 @@ def user_range_q_o(ranged: DataFrame, t: Tables) -> DataFrame:
     )
 
 
-def mart_aud_provider(ranged: DataFrame, t: Tables) -> DataFrame:
-    """One row per option: how often strong and weak learners chose it.
+def mart_aud_provider(ranged: DataFrame, struc: DataFrame, t: Tables) -> DataFrame:
+    """One row per option: how often strong and weak learners chose it. `ranged` is read twice.
 
     Same counts as grouping the long form, without building answers × options: what does not depend on the option is
     counted per question; only selections that are true, or stand more than once in the log, are joined to answers.
@@ -239,7 +269,7 @@ def mart_aud_provider(ranged: DataFrame, t: Tables) -> DataFrame:
     def or_zero(name: str):
         return F.coalesce(F.col(name), F.lit(0))
 
-    return merged.groupBy(*AUD_ROW, "q_o_ext_id", "q_o_index", "q_o_correct").agg(
+    mart = merged.groupBy(*AUD_ROW, "q_o_ext_id", "q_o_index", "q_o_correct").agg(
         F.max("display").alias("display"),
         F.sum(F.col("cnt") + or_zero("extra")).alias("cnt"),
         F.max("user_cnt").alias("user_cnt"),
@@ -247,8 +277,9 @@ def mart_aud_provider(ranged: DataFrame, t: Tables) -> DataFrame:
         F.sum(F.col("weak_denom") + or_zero("weak_extra")).alias("weak_denom"),
         F.sum(or_zero("strong_num")).alias("strong_num"),
         F.sum(F.col("strong_denom") + or_zero("strong_extra")).alias("strong_denom"),
-    ).withColumns({"platform_id": F.lit(1), "subiid": F.col("iid"), "subi_ord": F.col("i_ord"),
-                   "subi_name": F.col("i_name")})
+    )
+    names = _names(struc).drop("cname")
+    return _with_sub_item(join_on_keys(mart, names, ["course_id", "bid", "iid"]))
 
 
 # Reports over the same tables with older rules
@@ -264,8 +295,9 @@ def time_ranking(t: Tables) -> DataFrame:
         .withColumn("__longer", -F.col("time_dlt"))
     )
     # a missing duration comes first: the default of a descending sort in the source dialect
-    rows = rows.withColumn("__has", F.col("time_dlt").isNotNull())
-    ranked = rank_share(rows, ["item_id"], ["resp_sum", "__has", "__longer", "user_ext_id"])
+    rows = stage(rows.withColumn("__has", F.col("time_dlt").isNotNull()), "timed")
+    ranked = rank_share(rows, ["item_id"], ["resp_sum", "__has", "__longer", "user_ext_id"],
+                        known_keys=staged_rows(rows))
     return ranked.select("course_id", "item_id", "assessment_ext_id", "user_ext_id", "resp_sum", "time_dlt", "rnk",
                          "cd", "question_ext_id", "response_score")
 
@@ -286,43 +318,50 @@ def user_structure_report(t: Tables) -> DataFrame:
     keys = ["course_id", "user_ext_id", "item_id", "assessment_ext_id"]
     rows = first_attempts(answered(t), placed, keys=keys, rule="start_only",
                           join_on=["course_id", "user_ext_id", "assessment_ext_id"])
-    rows = rows.withColumn("time_dlt", F.col("action_ts") - F.col("action_start_ts"))
+    rows = stage(rows.select("course_id", "item_id", "assessment_ext_id", "question_ext_id", "user_ext_id",
+                             "response_score", (F.col("action_ts") - F.col("action_start_ts")).alias("time_dlt")),
+                 "timed")
     rows = with_question_variance(rows, ["course_id", "assessment_ext_id", "question_ext_id"])
     folded = user_fold(rows, ["course_id", "item_id", "assessment_ext_id", "user_ext_id", "time_dlt"],
                        ["course_id", "assessment_ext_id"], formula="legacy", count_as="k")
-    folded = folded.withColumns({"__has": F.col("time_dlt").isNotNull(), "__longer": -F.col("time_dlt")})
-    ranked = rank_share(folded, ["item_id"], ["resp_sum", "__has", "__longer", "user_ext_id"])
+    folded = stage(folded.withColumns({"__has": F.col("time_dlt").isNotNull(), "__longer": -F.col("time_dlt")}),
+                   "timed-users")
+    ranked = rank_share(folded, ["item_id"], ["resp_sum", "__has", "__longer", "user_ext_id"],
+                        known_keys=staged_rows(folded))
     struc = question_structure(t, per_assessment=False, assessments_only=True)
     return struc.join(ranked.drop("__has", "__longer"), ["course_id", "item_id", "assessment_ext_id"])
 
 
 def _complete_attempts(t: Tables) -> tuple[DataFrame, DataFrame]:
-    struc = question_structure(t, per_assessment=False, assessments_only=True)
-    return struc, first_attempt_rows(t, rule="start_only")
+    struc = stage(question_structure(t, per_assessment=False, assessments_only=True), "structure")
+    return struc, attempts_table(t, rule="start_only")
 
 
 def item_reliability_report(t: Tables) -> DataFrame:
     """Per item: learners and reliability (legacy form) over complete attempts only."""
     struc, attempts = _complete_attempts(t)
-    folded = user_range_a(answers_on_structure(struc, attempts), formula="legacy")
-    whole = complete_only(folded, "k_a")
-    return whole.groupBy("course_id", "cname", *NODE).agg(
+    whole = complete_only(user_range_a(struc, attempts, formula="legacy"), "k_a")
+    report = whole.groupBy("course_id", *NODE_KEYS).agg(
         F.count(F.lit(1)).alias("cnt"), F.countDistinct("user_ext_id").alias("user_cnt"),
         F.max("max_aqord").alias("max_aqord"), F.min("reliab").alias("mn_reliab"),
         F.max("reliab").alias("mx_reliab"), F.avg("ssi2").alias("ssi2"), F.avg("sx2").alias("sx2"),
     )
+    return join_on_keys(report, _names(struc), ["course_id", "bid", "iid"])
 
 
 def question_difficulty_report(t: Tables) -> DataFrame:
     """Per question: share of points p and the strong and weak sums over complete attempts only."""
     struc, attempts = _complete_attempts(t)
-    whole = complete_only(user_range_q(answers_on_structure(struc, attempts)))
-    return whole.groupBy("course_id", "cname", *NODE, "aq_ord", "question_ext_id").agg(
-        F.max("strt").alias("strt"), F.max("fin").alias("fin"), F.max("prompt").alias("prompt"),
+    whole = complete_only(user_range_q(struc, attempts))
+    keys = ["course_id", *NODE_KEYS, "aq_ord", "question_ext_id"]
+    report = whole.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("cnt"), F.countDistinct("user_ext_id").alias("user_cnt"),
-        (F.sum("response_score") / F.count(F.lit(1))).alias("p"),
-        *quartile_pairs("response_score"),
+        (F.sum("response_score") / F.count(F.lit(1))).alias("p"), *quartile_pairs("response_score"),
     )
+    texts = struc.groupBy(*keys).agg(
+        F.max("cname").alias("cname"), *[F.max(c).alias(c) for c in NODE_NAMES], F.max("strt").alias("strt"),
+        F.max("fin").alias("fin"), F.max("prompt").alias("prompt"))
+    return join_on_keys(report, texts, keys)
 
 
 def rows_per_course(t: Tables) -> DataFrame:

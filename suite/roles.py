@@ -11,6 +11,7 @@ SELECT o_custkey AS user_id, l_suppkey % 5 AS item_id, l_linenumber AS question_
 FROM {lineitem} JOIN {orders} ON o_orderkey = l_orderkey
 """)
 
+# Tests have one to three questions: each line of an order answers question line % (1 + supplier % 3).
 # --- provider platform ----------------------------------------------------------------------------------------------
 role("p_course", """
 SELECT r_regionkey + 1 AS id, concat('C', r_regionkey) AS ext_id, lower(r_name) AS slug, r_name AS name,
@@ -49,14 +50,14 @@ UNION ALL
 SELECT s_suppkey AS item_id, s_suppkey + 1 AS assessment_id FROM {supplier} WHERE s_suppkey % 10 = 5
 """)
 role("p_question", """
-SELECT DISTINCT l_suppkey * 10 + l_linenumber AS id, concat('Q', l_suppkey, '_', l_linenumber) AS ext_id,
-       concat('prompt ', l_linenumber) AS prompt, 101 + n_regionkey - 1 AS load_id,
+SELECT DISTINCT l_suppkey * 10 + l_linenumber % (1 + l_suppkey % 3) AS id, concat('Q', l_suppkey, '_', l_linenumber % (1 + l_suppkey % 3)) AS ext_id,
+       concat('prompt ', l_linenumber % (1 + l_suppkey % 3)) AS prompt, 101 + n_regionkey - 1 AS load_id,
        CAST(NULL AS TIMESTAMP) AS update_ts
 FROM {lineitem} JOIN {supplier} ON s_suppkey = l_suppkey JOIN {nation} ON n_nationkey = s_nationkey
 """)
 role("p_assessment_question", """
-SELECT DISTINCT l_suppkey AS assessment_id, l_suppkey * 10 + l_linenumber AS question_id,
-       concat('n', l_linenumber) AS internal_id, l_linenumber - 1 AS ord FROM {lineitem}
+SELECT DISTINCT l_suppkey AS assessment_id, l_suppkey * 10 + l_linenumber % (1 + l_suppkey % 3) AS question_id,
+       concat('n', l_linenumber % (1 + l_suppkey % 3)) AS internal_id, l_linenumber % (1 + l_suppkey % 3) AS ord FROM {lineitem}
 """)
 role("p_option", """
 SELECT q.id AS question_id, concat('O', q.id, '_', s.status) AS ext_id, s.pos AS index, s.status = 'F' AS correct,
@@ -70,7 +71,7 @@ FROM {orders} JOIN {customer} ON c_custkey = o_custkey LEFT JOIN {lineitem} ON l
 role("p_caq", """
 SELECT n_regionkey + 1 AS course_id, concat('U', o_custkey) AS user_ext_id, concat('A', l_suppkey) AS assessment_ext_id,
        concat('X', l_orderkey) AS action_ext_id, l_shipdate AS action_ts, o_orderdate AS action_start_ts,
-       CASE WHEN l_quantity > 49 THEN NULL ELSE concat('Q', l_suppkey, '_', l_linenumber) END AS question_ext_id,
+       CASE WHEN l_quantity > 49 THEN NULL ELSE concat('Q', l_suppkey, '_', l_linenumber % (1 + l_suppkey % 3)) END AS question_ext_id,
        CASE WHEN l_returnflag = 'A' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS response_score,
        concat('R', l_orderkey, '_', l_suppkey, '_', l_linenumber) AS response_ext_id
 FROM {lineitem} JOIN {orders} ON o_orderkey = l_orderkey JOIN {supplier} ON s_suppkey = l_suppkey
@@ -80,12 +81,12 @@ JOIN {nation} ON n_nationkey = s_nationkey
 role("p_cqo", """
 SELECT DISTINCT response_ext_id, option_ext_id, correct, selected, course_id FROM (
   SELECT concat('R', l_orderkey, '_', l_suppkey, '_', l_linenumber) AS response_ext_id,
-         concat('O', l_suppkey * 10 + l_linenumber, '_', l_linestatus) AS option_ext_id,
+         concat('O', l_suppkey * 10 + l_linenumber % (1 + l_suppkey % 3), '_', l_linestatus) AS option_ext_id,
          l_returnflag = 'A' AS correct, l_returnflag <> 'N' AS selected, n_regionkey + 1 AS course_id
   FROM {lineitem} JOIN {supplier} ON s_suppkey = l_suppkey JOIN {nation} ON n_nationkey = s_nationkey
   UNION ALL
   SELECT concat('R', l_orderkey, '_', l_suppkey, '_', l_linenumber) AS response_ext_id,
-         concat('O', l_suppkey * 10 + l_linenumber, '_', CASE WHEN l_linestatus = 'F' THEN 'O' ELSE 'F' END)
+         concat('O', l_suppkey * 10 + l_linenumber % (1 + l_suppkey % 3), '_', CASE WHEN l_linestatus = 'F' THEN 'O' ELSE 'F' END)
              AS option_ext_id,
          l_returnflag = 'A' AS correct, false AS selected, n_regionkey + 1 AS course_id
   FROM {lineitem} JOIN {supplier} ON s_suppkey = l_suppkey JOIN {nation} ON n_nationkey = s_nationkey
