@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("provider",)
+MODULES = ("basics", "provider", "tracking", "funnel", "quality")
 
 
 def load_all() -> None:

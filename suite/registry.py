@@ -23,6 +23,9 @@ def role(name: str, sql: str) -> None:
     ROLES[name] = sql
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 class Tables:
     """Test tables and role tables of one folder as DataFrames, made on first use."""
 
@@ -37,7 +40,10 @@ class Tables:
                 used = {n: self[n] for n in set(_MARK.findall(sql))}
                 self._made[name] = self.spark.sql(sql, **used)
             elif name in BASE:
-                self._made[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+                path = f"{self.sf_dir}/{name}.parquet"
+                if name not in _SCHEMAS:  # the test tables have one schema in all folders
+                    _SCHEMAS[name] = self.spark.read.parquet(path).schema
+                self._made[name] = self.spark.read.schema(_SCHEMAS[name]).parquet(path)
             else:
                 raise KeyError(name)
         return self._made[name]

@@ -60,9 +60,11 @@ SELECT DISTINCT l_suppkey AS assessment_id, l_suppkey * 10 + l_linenumber % (1 +
        concat('n', l_linenumber % (1 + l_suppkey % 3)) AS internal_id, l_linenumber % (1 + l_suppkey % 3) AS ord FROM {lineitem}
 """)
 role("p_option", """
-SELECT q.id AS question_id, concat('O', q.id, '_', s.status) AS ext_id, s.pos AS index, s.status = 'F' AS correct,
-       concat('option ', s.status) AS display
-FROM {p_question} q JOIN (SELECT 'F' AS status, 0 AS pos UNION ALL SELECT 'O' AS status, 1 AS pos) s ON s.pos <= q.id
+SELECT id AS question_id, concat('O', id, '_F') AS ext_id, 0 AS index, true AS correct, 'option F' AS display
+FROM {p_question}
+UNION ALL
+SELECT id AS question_id, concat('O', id, '_O') AS ext_id, 1 AS index, false AS correct, 'option O' AS display
+FROM {p_question}
 """)
 role("p_csess", """
 SELECT concat('B', c_nationkey) AS branch_ext_id, o_orderdate AS start_ts, l_shipdate AS end_ts
@@ -101,3 +103,51 @@ PROVIDER = {
     "assessment_question": "p_assessment_question", "q_option": "p_option", "csess_event": "p_csess",
     "caq_event": "p_caq", "cqo_event": "p_cqo",
 }
+
+# --- tracking-log platform ------------------------------------------------------------------------------------------
+# one row per shown option; the option columns fall away where answers are read
+role("t_answer", """
+SELECT concat('block-v1:org+C', n_regionkey, '+run+type@problem+block@p', l_suppkey) AS problem_id,
+       concat('p', l_suppkey, '_', l_linenumber % (1 + l_suppkey % 3) + 2, '_1') AS question_id,
+       concat('question ', l_linenumber % (1 + l_suppkey % 3)) AS question_txt,
+       CASE WHEN l_linenumber % 2 = 0 THEN 'choicegroup' ELSE 'optioninput' END AS input_type,
+       CASE WHEN l_tax > 0.05 THEN 2 ELSE 1 END AS attempts, CAST(3 AS DOUBLE) AS max_grade,
+       CAST(o_orderkey % 4 AS DOUBLE) AS grade, CASE WHEN o_orderkey % 4 = 3 THEN 'correct' ELSE 'incorrect' END AS success,
+       o_custkey AS user_id, concat('u', o_custkey) AS username, l_returnflag = 'A' AS resp_correct
+FROM {lineitem} JOIN {orders} ON o_orderkey = l_orderkey JOIN {supplier} ON s_suppkey = l_suppkey
+JOIN {nation} ON n_nationkey = s_nationkey
+""")
+role("t_sheet", """
+SELECT *, 'choice_0' AS choice_id FROM {t_answer} UNION ALL SELECT *, 'choice_1' AS choice_id FROM {t_answer}
+""")
+role("t_structure", """
+SELECT s_suppkey AS line_no,
+       concat('block-v1:org+C', n_regionkey, '+run+type@chapter+block@ch', n_nationkey) AS c1,
+       concat('block-v1:org+C', n_regionkey, '+run+type@sequential+block@sq', n_nationkey * 10 + s_suppkey % 3) AS c2,
+       concat('block-v1:org+C', n_regionkey, '+run+type@vertical+block@vt', n_nationkey * 100 + s_suppkey % 7) AS c3,
+       concat('block-v1:org+C', n_regionkey, '+run+type@', CASE WHEN s_suppkey % 8 = 7 THEN 'html' ELSE 'problem' END,
+              '+block@p', s_suppkey) AS c4,
+       n_name AS c5, concat('sequential ', s_suppkey % 3) AS c6, concat('vertical ', s_suppkey) AS c7,
+       CASE WHEN s_suppkey % 6 = 5 THEN NULL ELSE s_name END AS c8
+FROM {supplier} JOIN {nation} ON n_nationkey = s_nationkey
+""")
+# the last region's course is not in the catalogue
+role("t_course", """
+SELECT r_regionkey AS id, concat('org+C', r_regionkey, '+run') AS ext_id, r_name AS name FROM {region} WHERE r_regionkey < 4
+""")
+
+# --- progress log ---------------------------------------------------------------------------------------------------
+role("f_progress", """
+SELECT concat('U', user_id) AS user_ext_id, CAST(1 + user_id % 5 AS INTEGER) AS course_id,
+       concat('I', CAST(floor(value) AS BIGINT) % 100) AS item_ext_id,
+       CASE WHEN event_type = 'purchase' THEN 2 ELSE 1 END AS state
+FROM {events}
+""")
+role("f_session", """
+SELECT concat('S', n_nationkey) AS session_id, concat('B', n_nationkey) AS branch_ext_id FROM {nation}
+""")
+role("f_membership", """
+SELECT concat('U', c_custkey) AS user_ext_id, concat('S', c_nationkey) AS session_id FROM {customer}
+UNION ALL
+SELECT concat('U', o_custkey) AS user_ext_id, concat('S', CAST(floor(o_totalprice) AS BIGINT) % 25) AS session_id FROM {orders}
+""")
