@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("basics", "provider", "tracking", "funnel", "quality")
+MODULES = ("basics", "provider", "tracking", "funnel", "quality", "quiz")
 
 
 def load_all() -> None:

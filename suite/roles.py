@@ -151,3 +151,105 @@ SELECT concat('U', c_custkey) AS user_ext_id, concat('S', c_nationkey) AS sessio
 UNION ALL
 SELECT concat('U', o_custkey) AS user_ext_id, concat('S', CAST(floor(o_totalprice) AS BIGINT) % 25) AS session_id FROM {orders}
 """)
+
+# --- quiz platform: base tables -------------------------------------------------------------------------------------
+role("m_course", "SELECT r_regionkey + 1 AS id, lower(r_name) AS shortname, r_name AS fullname FROM {region}")
+role("m_sections", "SELECT n_nationkey AS id, n_nationkey % 4 AS section, n_name AS name FROM {nation}")
+role("m_modules", """
+SELECT s_suppkey AS id, n_regionkey + 1 AS course, CASE WHEN s_suppkey % 10 > 6 THEN 25 ELSE 14 END AS module,
+       s_suppkey AS instance, s_nationkey AS section FROM {supplier} JOIN {nation} ON n_nationkey = s_nationkey
+""")
+role("m_quiz", "SELECT s_suppkey AS id, s_name AS name, CASE WHEN s_suppkey % 13 = 12 THEN 0 ELSE 1 END AS attempts FROM {supplier}")
+# one question attempt per (order, quiz, question)
+role("m_flat", """
+SELECT l_orderkey * 100000 + l_suppkey AS qza_id, l_suppkey AS quiz, o_custkey AS userid,
+       l_linenumber % (1 + l_suppkey % 3) AS qn, l_suppkey * 10 + l_linenumber % (1 + l_suppkey % 3) AS qid, l_orderkey,
+       max(l_returnflag) AS flag, max(l_partkey) AS pick
+FROM {lineitem} JOIN {orders} ON o_orderkey = l_orderkey
+GROUP BY l_orderkey, l_suppkey, o_custkey, l_linenumber % (1 + l_suppkey % 3)
+""")
+role("m_slots", "SELECT DISTINCT quiz AS quizid, qn + 1 AS slot, qid AS questionid FROM {m_flat}")
+role("m_question", "SELECT DISTINCT qid AS id, concat('text of question ', qid) AS questiontext FROM {m_flat}")
+# kinds by id % 4: 0 checkbox, 1 radio, 2 true/false, 3 typed text
+role("m_answers", """
+SELECT id * 10 + 1 AS id, id AS question, CASE WHEN id % 4 = 2 THEN 'Верно' WHEN id % 4 = 3 THEN 'alpha' ELSE 'first' END
+         AS answer, CAST(1 AS DOUBLE) AS fraction FROM {m_question}
+UNION ALL
+SELECT id * 10 + 2 AS id, id AS question, CASE WHEN id % 4 = 2 THEN 'Неверно' WHEN id % 4 = 3 THEN 'beta' ELSE 'second' END
+         AS answer, CAST(0 AS DOUBLE) AS fraction FROM {m_question}
+UNION ALL
+SELECT id * 10 + 3 AS id, id AS question, 'third' AS answer, CAST(0 AS DOUBLE) AS fraction FROM {m_question}
+WHERE id % 4 < 2
+""")
+role("m_qattempts", """
+SELECT qza_id AS id, quiz, userid, CASE WHEN l_orderkey % 3 = 0 THEN 2 ELSE 1 END AS attempt, qza_id + 7 AS uniqueid,
+       'finished' AS state, CASE WHEN l_orderkey % 17 = 0 THEN NULL ELSE
+         sum(CASE WHEN flag = 'A' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) END AS sumgrades
+FROM {m_flat} GROUP BY qza_id, quiz, userid, l_orderkey
+""")
+role("m_usages", "SELECT DISTINCT qza_id + 7 AS id, 'deferredfeedback' AS preferredbehaviour FROM {m_flat}")
+role("m_qa", """
+SELECT qza_id * 10 + qn AS id, qza_id + 7 AS questionusageid, qn + 1 AS slot, 'deferredfeedback' AS behaviour,
+       qid AS questionid, 1 AS variant, CAST(1 AS DOUBLE) AS maxmark, CAST(0 AS DOUBLE) AS minfraction, false AS flagged,
+       concat('summary ', qid) AS questionsummary, 'right' AS rightanswer, flag AS responsesummary FROM {m_flat}
+""")
+role("m_steps", """
+SELECT (qza_id * 10 + qn) * 10 AS id, qza_id * 10 + qn AS questionattemptid, 0 AS sequencenumber, 'todo' AS state,
+       CAST(NULL AS DOUBLE) AS fraction, 1500000000 + l_orderkey AS timecreated, userid FROM {m_flat}
+UNION ALL
+SELECT (qza_id * 10 + qn) * 10 + 1 AS id, qza_id * 10 + qn AS questionattemptid, 1 AS sequencenumber, 'complete' AS state,
+       CAST(NULL AS DOUBLE) AS fraction, 1500000060 + l_orderkey AS timecreated, userid FROM {m_flat} WHERE pick % 5 <> 4
+UNION ALL
+SELECT (qza_id * 10 + qn) * 10 + 2 AS id, qza_id * 10 + qn AS questionattemptid, 2 AS sequencenumber,
+       CASE WHEN pick % 5 = 4 THEN 'gaveup' WHEN flag = 'A' THEN 'gradedright' ELSE 'gradedwrong' END AS state,
+       CASE WHEN pick % 5 = 4 THEN NULL WHEN flag = 'A' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS fraction,
+       1500000120 + l_orderkey AS timecreated, userid FROM {m_flat}
+""")
+role("m_data", """
+SELECT ((qza_id * 10 + qn) * 10) * 10 AS id, (qza_id * 10 + qn) * 10 AS attemptstepid, '_order' AS name,
+       CASE WHEN pick % 2 = 0 THEN concat(qid * 10 + 3, ',', qid * 10 + 1, ',', qid * 10 + 2)
+            ELSE concat(qid * 10 + 1, ',', qid * 10 + 2, ',', qid * 10 + 3) END AS value
+FROM {m_flat} WHERE qid % 4 < 2
+UNION ALL
+SELECT ((qza_id * 10 + qn) * 10 + 1) * 10 AS id, (qza_id * 10 + qn) * 10 + 1 AS attemptstepid, 'choice0' AS name,
+       CASE WHEN pick % 3 = 0 THEN '1' ELSE '0' END AS value FROM {m_flat} WHERE qid % 4 = 0 AND pick % 5 <> 4
+UNION ALL
+SELECT ((qza_id * 10 + qn) * 10 + 1) * 10 + 1 AS id, (qza_id * 10 + qn) * 10 + 1 AS attemptstepid, 'choice1' AS name,
+       CASE WHEN pick % 3 = 1 THEN '1' ELSE '0' END AS value FROM {m_flat} WHERE qid % 4 = 0 AND pick % 5 <> 4
+UNION ALL
+SELECT ((qza_id * 10 + qn) * 10 + 1) * 10 + 2 AS id, (qza_id * 10 + qn) * 10 + 1 AS attemptstepid, 'answer' AS name,
+       CASE WHEN qid % 4 = 1 THEN CASE WHEN pick % 3 = 0 THEN '0' WHEN pick % 3 = 1 THEN '1' ELSE '2' END
+            WHEN qid % 4 = 2 THEN CASE WHEN pick % 3 = 0 THEN '1' ELSE '0' END
+            ELSE CASE WHEN pick % 3 = 0 THEN 'alpha' WHEN pick % 3 = 1 THEN 'beta' ELSE 'gamma' END END AS value
+FROM {m_flat} WHERE qid % 4 > 0 AND pick % 5 <> 4
+UNION ALL
+SELECT ((qza_id * 10 + qn) * 10 + 2) * 10 AS id, (qza_id * 10 + qn) * 10 + 2 AS attemptstepid, '-finish' AS name,
+       '1' AS value FROM {m_flat}
+""")
+role("m_manager", "SELECT r_regionkey AS id, r_regionkey % 2 AS partnerid, r_regionkey AS userid FROM {region}")
+role("m_partner", "SELECT DISTINCT r_regionkey % 2 AS id FROM {region}")
+role("m_user", "SELECT c_custkey AS id FROM {customer}")
+role("m_cassign", "SELECT r_regionkey AS managerid, r_regionkey + 50 AS contractid FROM {region}")
+role("m_contract", "SELECT r_regionkey + 50 AS id FROM {region}")
+role("m_pgroup", """
+SELECT r_regionkey + 50 AS contractid, (r_regionkey + 1) * 10 AS groupid, r_regionkey + 1 AS courseid FROM {region}
+UNION ALL
+SELECT r_regionkey + 50 AS contractid, (r_regionkey + 1) * 10 + 1 AS groupid, r_regionkey + 1 AS courseid FROM {region}
+""")
+role("m_groups", "SELECT groupid AS id, courseid FROM {m_pgroup} WHERE groupid <> 31")
+# every learner is in one group of each course taken, some in the other group too
+role("m_members", """
+SELECT DISTINCT course * 10 + userid % 2 AS groupid, userid FROM {m_qattempts} JOIN {m_modules} ON instance = quiz
+UNION ALL
+SELECT DISTINCT course * 10 + 1 - userid % 2 AS groupid, userid FROM {m_qattempts} JOIN {m_modules} ON instance = quiz
+WHERE userid % 20 = 3
+""")
+
+QUIZ = {
+    "course": "m_course", "course_sections": "m_sections", "course_modules": "m_modules", "quiz": "m_quiz",
+    "quiz_slots": "m_slots", "question": "m_question", "question_answers": "m_answers", "quiz_attempts": "m_qattempts",
+    "question_usages": "m_usages", "question_attempts": "m_qa", "question_attempt_steps": "m_steps",
+    "question_attempt_step_data": "m_data", "manager": "m_manager", "partner": "m_partner", "user": "m_user",
+    "cassign": "m_cassign", "contract": "m_contract", "partner_group": "m_pgroup", "groups": "m_groups",
+    "groups_members": "m_members",
+}
