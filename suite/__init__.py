@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("basics", "provider", "tracking", "funnel", "quality", "quiz")
+MODULES = ("basics", "provider", "tracking", "funnel", "quality", "quiz", "files")
 
 
 def load_all() -> None:
