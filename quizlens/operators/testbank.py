@@ -109,6 +109,6 @@ def extract_test_bank(docs: DataFrame) -> DataFrame:
     return rows.withColumn("choice_id", own).select(*OPTION_FIELDS)
 
 
-def test_bank_rejects(docs: DataFrame) -> DataFrame:
+def rejected_elements(docs: DataFrame) -> DataFrame:
     """What the walk could not use: options without a correct attribute, nested responses, broken documents."""
     return _walk_all(docs).where(F.col("reject").isNotNull()).select("course", "problem", "question_id", "reject", "tag")

@@ -8,7 +8,7 @@ import pyarrow.fs as pa_fs
 from pyspark.sql import functions as F
 
 from quizlens.operators import submissions as S
-from quizlens.operators.testbank import extract_test_bank, test_bank_rejects
+from quizlens.operators.testbank import extract_test_bank, rejected_elements
 from quizlens.operators.tree import STRUCTURE_FIELDS, parse_structure
 from quizlens.plans import export_load as L
 from quizlens.sinks import tables as W
@@ -382,4 +382,4 @@ SELECT p_brand, concat('x', p_partkey), NULL, 'nested response not read', 'strin
 """)
 def test_bank_lost(t):
     """E12f, E12g."""
-    return test_bank_rejects(problem_docs(t))
+    return rejected_elements(problem_docs(t))
