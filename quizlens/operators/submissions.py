@@ -32,11 +32,15 @@ def problem_checks(log: DataFrame, since: str | None = None, per_archive: int |
 
 
 def submitted_questions(checks: DataFrame) -> DataFrame:
-    """One row per question of a submission, with the submission in `s`."""
-    parsed = checks.withColumn("e", F.from_json("event", CHECK_EVENT))
+    """One row per question of a submission, with the submission in `s`.
+
+    inline() unpacks the parsed event as a generator, so the text is parsed once per row.
+    """
+    parsed = checks.select("archive", "line_no", "time", "username", "user_id",
+                           F.inline(F.array(F.from_json("event", CHECK_EVENT))))
     return parsed.select(
-        "archive", "line_no", "time", "username", "user_id", "e.problem_id", "e.max_grade", "e.attempts", "e.grade",
-        "e.success", F.explode("e.submission").alias("question_id", "s"))
+        "archive", "line_no", "time", "username", "user_id", "problem_id", "max_grade", "attempts", "grade", "success",
+        F.explode("submission").alias("question_id", "s"))
 
 
 def _option(choice_id, choice_txt, correct, selected, txt2, txt3) -> Column:
@@ -60,7 +64,7 @@ def _options() -> Column:
     s = {n: F.col(f"s.{n}") for n in ("choices_map", "answers_available", "choice_correct", "answer_correct", "choice",
                                       "answer")}
     none, empty = F.lit(None), F.lit("")
-    chosen, written = (F.from_json(s[n], "array<string>") for n in ("choice", "answer"))
+    chosen, written = F.col("__chosen"), F.col("__written")
     entries = F.map_entries(s["choices_map"])
     many = F.transform(entries, lambda e: _option(
         e["key"], e["value"], _contains(s["choice_correct"], e["key"]), _contains(chosen, e["key"]),
@@ -87,6 +91,10 @@ def flatten_submissions(log: DataFrame, since: str | None = None, per_archive: i
     All kinds of questions go through one scan: each row builds its own list of options, which is then exploded.
     """
     asked = submitted_questions(problem_checks(log, since, per_archive, spread))
+    many = F.col("s.input_type") == "checkboxgroup"
+    asked = asked.withColumns({
+        "__chosen": F.when(many, F.from_json("s.choice", "array<string>")),
+        "__written": F.when(many, F.from_json("s.answer", "array<string>"))})
     text = F.when(F.col("s.input_type") == "checkboxgroup", F.col("s.question")).otherwise(
         F.replace(F.col("s.question"), F.lit("\n"), F.lit(" ")))
     flat = asked.withColumns({"input_type": F.col("s.input_type"), "question_txt": text,

@@ -27,9 +27,9 @@ Tables = Mapping[str, DataFrame]
 SUMMATIVE = 7  # fixed value: type id of a summative assessment
 
 NODE = ["bid", "mid", "m_ord", "m_name", "lid", "l_ord", "l_name", "iid", "i_ord", "i_name"]
-NODE_KEYS = ["bid", "mid", "m_ord", "lid", "l_ord", "iid", "i_ord"]
-NODE_NAMES = ["m_name", "l_name", "i_name"]
-TEST = ["course_id", "bid", "m_ord", "mid", "l_ord", "lid", "i_ord", "iid", "item_id", "assessment_ext_id"]
+# item_id fixes the path from course to item, so answer rows carry it alone and get the path at the end
+ITEM = ["course_id", "item_id"]
+TEST = [*ITEM, "assessment_ext_id"]
 
 
 def content_tree(t: Tables) -> DataFrame:
@@ -183,32 +183,37 @@ def user_range_a(struc: DataFrame, attempts: DataFrame, formula: str = "smoothed
                      estimator=estimator, max_aqord=F.max("max_aqord"))
 
 
-def _names(struc: DataFrame) -> DataFrame:
-    """Names of the nodes of the tree; (branch, item) fixes them."""
-    return struc.groupBy("course_id", "bid", "iid").agg(*[F.max(c).alias(c) for c in ("cname", *NODE_NAMES)])
+def _with_path(mart: DataFrame, struc: DataFrame) -> DataFrame:
+    """Adds course name and the path of the item to finished rows."""
+    paths = struc.where(F.col("item_id").isNotNull()).groupBy(*ITEM).agg(
+        *[F.max(c).alias(c) for c in ("cname", *NODE)])
+    return mart.join(paths, ITEM)
 
 
 def _with_sub_item(mart: DataFrame) -> DataFrame:
+    mart = mart.drop("item_id")
     return mart.withColumns({"platform_id": F.lit(1), "subiid": F.col("iid"), "subi_ord": F.col("i_ord"),
                              "subi_name": F.col("i_name")})
 
 
 def mart_str_provider(ranged: DataFrame, struc: DataFrame) -> DataFrame:
-    mart = mart_str(ranged, ["course_id", *NODE_KEYS, "assessment_ext_id"], "user_ext_id", F.max("max_aqord") + 1)
-    return _with_sub_item(join_on_keys(mart, _names(struc), ["course_id", "bid", "iid"]))
+    mart = mart_str(ranged, TEST, "user_ext_id", F.max("max_aqord") + 1)
+    return _with_sub_item(_with_path(mart, struc))
 
 
 def mart_heat_provider(ranged: DataFrame, struc: DataFrame) -> DataFrame:
-    keys = ["course_id", *NODE_KEYS, "aq_ord", "assessment_ext_id", "question_ext_id"]
+    keys = [*TEST, "aq_ord", "question_ext_id"]
     mart = mart_heat(ranged, keys, "user_ext_id", k_min=F.min("k_q"), k_max=F.max("k_q"),
                      max_aqord1=F.max("max_aqord") + 1)
-    texts = struc.groupBy(*keys).agg(
-        F.max("cname").alias("cname"), *[F.max(c).alias(c) for c in NODE_NAMES], F.max("strt").alias("strt"),
-        F.max("fin").alias("fin"), F.min("q_update_ts").alias("q_update_ts"), F.max("prompt").alias("prompt"))
-    return _with_sub_item(join_on_keys(mart, texts, keys))
+    return _with_sub_item(_with_path(join_on_keys(mart, _question_texts(struc, keys), keys), struc))
 
 
-AUD_ROW = ["course_id", "bid", "question_ext_id", "m_ord", "l_ord", "i_ord", "iid", "k_q", "max_aqord1", "aq_ord"]
+def _question_texts(struc: DataFrame, keys: list[str]) -> DataFrame:
+    return struc.groupBy(*keys).agg(F.max("strt").alias("strt"), F.max("fin").alias("fin"),
+                                    F.min("q_update_ts").alias("q_update_ts"), F.max("prompt").alias("prompt"))
+
+
+AUD_ROW = [*ITEM, "question_ext_id", "k_q", "max_aqord1", "aq_ord"]
 
 
 def options_of_questions(t: Tables) -> DataFrame:
@@ -278,8 +283,7 @@ def mart_aud_provider(ranged: DataFrame, struc: DataFrame, t: Tables) -> DataFra
         F.sum(or_zero("strong_num")).alias("strong_num"),
         F.sum(F.col("strong_denom") + or_zero("strong_extra")).alias("strong_denom"),
     )
-    names = _names(struc).drop("cname")
-    return _with_sub_item(join_on_keys(mart, names, ["course_id", "bid", "iid"]))
+    return _with_sub_item(_with_path(mart, struc)).drop("cname", "mid", "lid")
 
 
 # Reports over the same tables with older rules
@@ -341,27 +345,25 @@ def item_reliability_report(t: Tables) -> DataFrame:
     """Per item: learners and reliability (legacy form) over complete attempts only."""
     struc, attempts = _complete_attempts(t)
     whole = complete_only(user_range_a(struc, attempts, formula="legacy"), "k_a")
-    report = whole.groupBy("course_id", *NODE_KEYS).agg(
+    report = whole.groupBy(*ITEM).agg(
         F.count(F.lit(1)).alias("cnt"), F.countDistinct("user_ext_id").alias("user_cnt"),
         F.max("max_aqord").alias("max_aqord"), F.min("reliab").alias("mn_reliab"),
         F.max("reliab").alias("mx_reliab"), F.avg("ssi2").alias("ssi2"), F.avg("sx2").alias("sx2"),
     )
-    return join_on_keys(report, _names(struc), ["course_id", "bid", "iid"])
+    return _with_path(report, struc).drop("item_id")
 
 
 def question_difficulty_report(t: Tables) -> DataFrame:
     """Per question: share of points p and the strong and weak sums over complete attempts only."""
     struc, attempts = _complete_attempts(t)
     whole = complete_only(user_range_q(struc, attempts))
-    keys = ["course_id", *NODE_KEYS, "aq_ord", "question_ext_id"]
+    keys = [*ITEM, "aq_ord", "question_ext_id"]
     report = whole.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("cnt"), F.countDistinct("user_ext_id").alias("user_cnt"),
         (F.sum("response_score") / F.count(F.lit(1))).alias("p"), *quartile_pairs("response_score"),
     )
-    texts = struc.groupBy(*keys).agg(
-        F.max("cname").alias("cname"), *[F.max(c).alias(c) for c in NODE_NAMES], F.max("strt").alias("strt"),
-        F.max("fin").alias("fin"), F.max("prompt").alias("prompt"))
-    return join_on_keys(report, texts, keys)
+    texts = _question_texts(struc, keys).drop("q_update_ts")
+    return _with_path(join_on_keys(report, texts, keys), struc).drop("item_id")
 
 
 def rows_per_course(t: Tables) -> DataFrame:

@@ -17,7 +17,7 @@ from quizlens.operators.attempts import last_steps, rows_of_last_step
 from quizlens.operators.marts import mart_heat, mart_str
 from quizlens.operators.ranking import is_last_row, rank_share, strong, sum_where, weak
 from quizlens.operators.reliability import user_fold, with_question_variance
-from quizlens.sinks.stage import staged_rows
+from quizlens.sinks.stage import stage, staged_rows
 
 Tables = Mapping[str, DataFrame]
 
@@ -268,8 +268,10 @@ def with_step_indicator(rows: DataFrame) -> DataFrame:
 
 
 def user_range_qo(cube: DataFrame, answers: DataFrame) -> DataFrame:
-    """All decoding steps in one chain. `cube` is read several times, so stage it."""
-    return with_step_indicator(with_display(with_input_answer(with_text_choice(option_rows(cube, answers)))))
+    """All decoding steps. `cube` is read several times, so stage it; the joined options are staged here, because the
+    typed answers and the last rows of the steps are found by aggregates over them."""
+    joined = stage(with_display(with_text_choice(option_rows(cube, answers))), "options")
+    return with_step_indicator(with_input_answer(joined))
 
 
 def question_kind(of_options: bool = False) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quizlens.functions import file_name
-from quizlens.schemas import LOG_LINE, STRUCTURE_FILE
+from quizlens.schemas import STRUCTURE_FILE
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: str, sep: str = ",", header: bool = True,
@@ -49,17 +49,21 @@ def sizes_of_listed(spark: SparkSession, list_path: str, folder: str) -> DataFra
 
 
 def read_event_log(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Tracking-log lines (plain or gzipped JSON). A line that is no JSON keeps its text in _corrupt.
+    """Tracking-log lines (plain or gzipped JSON). A line that yields none of the fields keeps its text in _corrupt.
 
-    A gzipped file is one task; the readers downstream filter before they spread the rows.
+    json_tuple parses a line once, however many fields and filters use it, and leaves nested values as text: `event` is
+    an object in some rows and a text in others. A gzipped file is one task; the readers downstream filter before they
+    spread the rows.
     """
     raw = spark.read.text(path).select(
         "value", F.col("_metadata.file_name").alias("archive"), F.monotonically_increasing_id().alias("line_no"))
-    line = F.from_json("value", LOG_LINE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    return raw.withColumn("l", line).select(
-        "archive", "line_no", "l.username", F.col("l.context.user_id").alias("user_id"),
-        F.col("l.context.course_id").alias("course_id"), "l.event_type", "l.event_source", "l.time", "l.event",
-        "l._corrupt")
+    fields = ["username", "event_type", "event_source", "time", "context", "event"]
+    lines = raw.select("*", F.json_tuple("value", *fields).alias(*fields))
+    no_field = F.coalesce(*[F.col(f) for f in fields]).isNull()
+    return lines.select(
+        "archive", "line_no", "username", F.get_json_object("context", "$.user_id").try_cast("bigint").alias("user_id"),
+        F.get_json_object("context", "$.course_id").alias("course_id"), "event_type", "event_source", "time", "event",
+        F.when(no_field, F.col("value")).alias("_corrupt"))
 
 
 def read_jdbc(spark: SparkSession, url: str, query: str, partition_column: str | None = None,

@@ -248,12 +248,12 @@ def log_lines(t):
     # the chosen values of a checkbox group are arrays
     line = F.replace(F.replace(line, F.lit('"@choice@"'), F.concat(F.lit('["'), picked, F.lit('","c1"]'))),
                      F.lit('"@answer@"'), F.concat(F.lit('["'), shown, F.lit('","second"]')))
-    return t["lineitem"].select(line.alias("value"))
+    return t["lineitem"].repartition(t.spark.sparkContext.defaultParallelism).select(line.alias("value"))
 
 
 def read_log(t):
     path = scratch_path(t.spark, "log")
-    log_lines(t).write.text(path, compression="gzip")
+    log_lines(t).write.text(path, compression="gzip")  # one file per task
     return R.read_event_log(t.spark, path)
 
 

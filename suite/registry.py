@@ -7,20 +7,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quizlens.sinks.stage import stage
+
 BASE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
         "embeddings", "pages", "benchmark", "labels", "conversations")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 ROLES: dict[str, str] = {}
+STORED: set[str] = set()
 
 _MARK = re.compile(r"\{(\w+)\}")
 
 
-def role(name: str, sql: str) -> None:
+def role(name: str, sql: str, stored: bool = False) -> None:
     """A table of the learning platforms, as a select over the test tables or earlier roles. Table names stand in
-    braces. The text is plain enough to mean the same in Spark SQL and in the checking database."""
+    braces. The text is plain enough to mean the same in Spark SQL and in the checking database. A large role that is
+    read several times is stored, as the platform's own table would be."""
     ROLES[name] = sql
+    if stored:
+        STORED.add(name)
 
 
 _SCHEMAS: dict[str, object] = {}
@@ -38,7 +44,11 @@ class Tables:
             if name in ROLES:
                 sql = ROLES[name]
                 used = {n: self[n] for n in set(_MARK.findall(sql))}
-                self._made[name] = self.spark.sql(sql, **used)
+                made = self.spark.sql(sql, **used)
+                if name in STORED:
+                    # the test tables are single-split files; spread them as a stored table would be
+                    made = stage(made.repartition(self.spark.sparkContext.defaultParallelism), name)
+                self._made[name] = made
             elif name in BASE:
                 path = f"{self.sf_dir}/{name}.parquet"
                 if name not in _SCHEMAS:  # the test tables have one schema in all folders

@@ -54,11 +54,11 @@ SELECT DISTINCT l_suppkey * 10 + l_linenumber % (1 + l_suppkey % 3) AS id, conca
        concat('prompt ', l_linenumber % (1 + l_suppkey % 3)) AS prompt, 101 + n_regionkey - 1 AS load_id,
        CAST(NULL AS TIMESTAMP) AS update_ts
 FROM {lineitem} JOIN {supplier} ON s_suppkey = l_suppkey JOIN {nation} ON n_nationkey = s_nationkey
-""")
+""", stored=True)
 role("p_assessment_question", """
 SELECT DISTINCT l_suppkey AS assessment_id, l_suppkey * 10 + l_linenumber % (1 + l_suppkey % 3) AS question_id,
        concat('n', l_linenumber % (1 + l_suppkey % 3)) AS internal_id, l_linenumber % (1 + l_suppkey % 3) AS ord FROM {lineitem}
-""")
+""", stored=True)
 role("p_option", """
 SELECT id AS question_id, concat('O', id, '_F') AS ext_id, 0 AS index, true AS correct, 'option F' AS display
 FROM {p_question}
@@ -78,7 +78,7 @@ SELECT n_regionkey + 1 AS course_id, concat('U', o_custkey) AS user_ext_id, conc
        concat('R', l_orderkey, '_', l_suppkey, '_', l_linenumber) AS response_ext_id
 FROM {lineitem} JOIN {orders} ON o_orderkey = l_orderkey JOIN {supplier} ON s_suppkey = l_suppkey
 JOIN {nation} ON n_nationkey = s_nationkey
-""")
+""", stored=True)
 # the option a learner took stands as selected, the other one as not selected in a part of the rows only
 role("p_cqo", """
 SELECT DISTINCT response_ext_id, option_ext_id, correct, selected, course_id FROM (
@@ -94,7 +94,7 @@ SELECT DISTINCT response_ext_id, option_ext_id, correct, selected, course_id FRO
   FROM {lineitem} JOIN {supplier} ON s_suppkey = l_suppkey JOIN {nation} ON n_nationkey = s_nationkey
   WHERE l_tax > 0.04
 ) both_options
-""")
+""", stored=True)
 
 PROVIDER = {
     "course": "p_course", "branch": "p_branch", "module": "p_module", "lesson": "p_lesson", "item": "p_item",
@@ -167,9 +167,9 @@ SELECT l_orderkey * 100000 + l_suppkey AS qza_id, l_suppkey AS quiz, o_custkey A
        max(l_returnflag) AS flag, max(l_partkey) AS pick
 FROM {lineitem} JOIN {orders} ON o_orderkey = l_orderkey
 GROUP BY l_orderkey, l_suppkey, o_custkey, l_linenumber % (1 + l_suppkey % 3)
-""")
-role("m_slots", "SELECT DISTINCT quiz AS quizid, qn + 1 AS slot, qid AS questionid FROM {m_flat}")
-role("m_question", "SELECT DISTINCT qid AS id, concat('text of question ', qid) AS questiontext FROM {m_flat}")
+""", stored=True)
+role("m_slots", "SELECT DISTINCT quiz AS quizid, qn + 1 AS slot, qid AS questionid FROM {m_flat}", stored=True)
+role("m_question", "SELECT DISTINCT qid AS id, concat('text of question ', qid) AS questiontext FROM {m_flat}", stored=True)
 # kinds by id % 4: 0 checkbox, 1 radio, 2 true/false, 3 typed text
 role("m_answers", """
 SELECT id * 10 + 1 AS id, id AS question, CASE WHEN id % 4 = 2 THEN 'Верно' WHEN id % 4 = 3 THEN 'alpha' ELSE 'first' END
@@ -186,7 +186,7 @@ SELECT qza_id AS id, quiz, userid, CASE WHEN l_orderkey % 3 = 0 THEN 2 ELSE 1 EN
        'finished' AS state, CASE WHEN l_orderkey % 17 = 0 THEN NULL ELSE
          sum(CASE WHEN flag = 'A' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) END AS sumgrades
 FROM {m_flat} GROUP BY qza_id, quiz, userid, l_orderkey
-""")
+""", stored=True)
 role("m_usages", "SELECT DISTINCT qza_id + 7 AS id, 'deferredfeedback' AS preferredbehaviour FROM {m_flat}")
 role("m_qa", """
 SELECT qza_id * 10 + qn AS id, qza_id + 7 AS questionusageid, qn + 1 AS slot, 'deferredfeedback' AS behaviour,
@@ -243,7 +243,7 @@ SELECT DISTINCT course * 10 + userid % 2 AS groupid, userid FROM {m_qattempts} J
 UNION ALL
 SELECT DISTINCT course * 10 + 1 - userid % 2 AS groupid, userid FROM {m_qattempts} JOIN {m_modules} ON instance = quiz
 WHERE userid % 20 = 3
-""")
+""", stored=True)
 
 QUIZ = {
     "course": "m_course", "course_sections": "m_sections", "course_modules": "m_modules", "quiz": "m_quiz",
