@@ -6,10 +6,10 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quizlens.operators.frames import counted
+from quizlens.operators.frames import counted, with_group_stats
 
 
 @dataclass(frozen=True)
@@ -73,9 +73,8 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def total_check(scores: DataFrame, keys: Sequence[str], stored: str = "sumgrades",
                 score: str = "response_score") -> DataFrame:
-    """Stored total against the sum of the scores: one learner's answers in one test, so a window."""
-    summed = F.sum(score).over(Window.partitionBy(*keys))
-    return scores.withColumn("sumfraction", summed).withColumn("agrees", F.col(stored).eqNullSafe(F.col("sumfraction")))
+    """Stored total against the sum of the scores."""
+    return with_group_stats(scores, keys, sumfraction=F.sum(score)).withColumn("agrees", F.col(stored).eqNullSafe(F.col("sumfraction")))
 
 
 def control_sum(funnel: DataFrame) -> DataFrame:

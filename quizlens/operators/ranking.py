@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quizlens.operators.frames import join_on_keys
+from quizlens.operators.frames import join_on_keys, with_group_stats
+from quizlens.sinks.stage import stage, staged_rows
 
 # One in so many folded rows of a group becomes a cut, so a bucket holds about this many rows.
 BUCKET_ROWS = 1 << 20
@@ -32,6 +33,7 @@ def rank_share(
     nulls: str = "last",
     bucket_rows: int = BUCKET_ROWS,
     known_keys: int | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """Adds rank() (or dense_rank()) and cume_dist() by group in ascending order of the order columns.
 
@@ -43,12 +45,13 @@ def rank_share(
 
     `df` is read twice (keys only, then whole), so stage it when it is expensive to make. `known_keys` is a proven
     upper bound of the number of distinct (group, order key) pairs, e.g. the row count of a staged table; when it
-    fits one bucket, no group needs to be cut.
+    fits one bucket, no group needs to be cut. With `weight` a row of df stands for that many rows.
     """
     if nulls not in ("last", "first"):
         raise ValueError("nulls must be 'last' or 'first'")
     groups, order = list(groups), list(order)
-    folded = df.groupBy(*groups, *order).agg(F.count(F.lit(1)).alias("__n"))
+    rows = F.sum(weight) if weight else F.count(F.lit(1))
+    folded = df.groupBy(*groups, *order).agg(rows.alias("__n"))
     if known_keys is not None and known_keys <= bucket_rows:
         ranked = _ranks_in_one_bucket(folded, groups, order, nulls)
     else:
@@ -108,6 +111,24 @@ def _running_ranks(folded: DataFrame, groups: list[str], order: list[str], nulls
     )
 
 
+def learner_ranks(rows: DataFrame, test: Sequence[str], user: str, score: str, question_order: str | None = None,
+                  dense: bool = False, nulls: str = "last", count_as: str = "k_q") -> DataFrame:
+    """Adds rank and rank share of the learner in the test by (score, learner), the number of answers of the learner in
+    the test, and, when question_order is named, the greatest question order (max_aqord).
+
+    Answers are folded to learners first (partial aggregation, so a learner or test with very many answers is no
+    hot task); everything is computed on the staged fold, and the answers are shuffled once, for the join with it.
+    """
+    test, keys = list(test), [*test, user, score]
+    last = [F.max(question_order).alias("__last")] if question_order else []
+    folded = stage(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *last), "learners")
+    marks = {count_as: F.sum("__n")} | ({"max_aqord": F.max("__last")} if question_order else {})
+    marked = with_group_stats(folded, [*test, user], **marks)
+    ranked = rank_share(marked, test, [score, user], dense=dense, nulls=nulls, known_keys=staged_rows(folded),
+                        weight="__n")
+    return join_on_keys(rows, ranked.drop("__n", "__last"), keys)
+
+
 def strong(cd: Column | str = "cd", cut: float = 0.75) -> Column:
     """Learners above the upper cut."""
     cd = F.col(cd) if isinstance(cd, str) else cd

@@ -133,13 +133,15 @@ def answered(t: Tables) -> DataFrame:
 
 
 def first_attempt_rows(t: Tables, rule: str = "both_minima") -> DataFrame:
-    """Answers of the first attempt with resp_sum, the learner's total in the test."""
-    rows = first_attempts(answered(t), placed_answers(t), rule=rule).select(
+    """Answers of the first attempt."""
+    return first_attempts(answered(t), placed_answers(t), rule=rule).select(
         "course_id", "item_id", "assessment_ext_id", "question_ext_id", "response_score", "user_ext_id",
         "response_ext_id")
-    # one learner's answers in one test: small by nature, so a window
-    total = Window.partitionBy("course_id", "item_id", "assessment_ext_id", "user_ext_id")
-    return rows.withColumn("resp_sum", F.sum("response_score").over(total))
+
+
+def learner_totals(attempts: DataFrame) -> DataFrame:
+    """resp_sum: the learner's total in the test."""
+    return attempts.groupBy(*TEST, "user_ext_id").agg(F.sum("response_score").alias("resp_sum"))
 
 
 def structure_table(t: Tables) -> DataFrame:
@@ -165,14 +167,15 @@ def answers_on_structure(struc: DataFrame, attempts: DataFrame) -> DataFrame:
 def user_range_q(struc: DataFrame, attempts: DataFrame) -> DataFrame:
     """Answers with completeness markers k_q and max_aqord and the learner's rank and rank share in the item.
 
-    `attempts` is a staged table.
+    `attempts` is a staged table. Answers are folded to learners, learners are ranked with their number of answers as
+    weight, and the answers are shuffled once, for the join with the ranked learners.
     """
-    user = Window.partitionBy(*TEST, "user_ext_id")
-    marked = answers_on_structure(struc, attempts).withColumns({
-        "k_q": F.count(F.lit(1)).over(user),
-        "max_aqord": F.max("max_aqord").over(user),
-    })
-    return rank_share(marked, ["item_id"], ["resp_sum", "user_ext_id"], known_keys=staged_rows(attempts))
+    rows, learner = answers_on_structure(struc, attempts), [*TEST, "user_ext_id"]
+    marks = rows.groupBy(*learner).agg(F.count(F.lit(1)).alias("k_q"), F.max("max_aqord").alias("max_aqord"))
+    learners = stage(marks.join(learner_totals(attempts), learner), "learners")
+    ranked = rank_share(learners, ["item_id"], ["resp_sum", "user_ext_id"], known_keys=staged_rows(learners),
+                        weight="k_q")
+    return rows.drop("max_aqord").join(ranked, learner)
 
 
 def user_range_a(struc: DataFrame, attempts: DataFrame, formula: str = "smoothed",

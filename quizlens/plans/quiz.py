@@ -8,16 +8,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quizlens.functions import list_item, suffix_number
 from quizlens.functions.columns import last_digit
 from quizlens.operators.attempts import last_steps, rows_of_last_step
+from quizlens.operators.frames import with_group_stats
 from quizlens.operators.marts import mart_heat, mart_str
-from quizlens.operators.ranking import is_last_row, rank_share, strong, sum_where, weak
+from quizlens.operators.ranking import is_last_row, learner_ranks, strong, sum_where, weak
 from quizlens.operators.reliability import user_fold, with_question_variance
-from quizlens.sinks.stage import stage, staged_rows
+from quizlens.sinks.stage import stage
 
 Tables = Mapping[str, DataFrame]
 
@@ -157,7 +158,7 @@ def score_totals(t: Tables) -> DataFrame:
         .join(t["question_attempts"].select("id", F.col("questionusageid").alias("uniqueid")), "uniqueid")
         .join(steps.select(F.col("questionattemptid").alias("id"), "fraction"), "id")
     )
-    return rows.withColumn("sumfraction", F.sum("fraction").over(Window.partitionBy("quiz", "userid")))
+    return with_group_stats(rows, ["quiz", "userid"], sumfraction=F.sum("fraction"))
 
 
 def attempt_cube(t: Tables, module: int = QUIZ_MODULE) -> DataFrame:
@@ -294,9 +295,7 @@ def first_attempt_questions(options: DataFrame) -> DataFrame:
 
 def user_range_q(questions: DataFrame) -> DataFrame:
     """Completeness markers, dense rank and rank share by (sumgrades, learner). `questions` is a staged table."""
-    user = Window.partitionBy(*TEST, "userid")
-    marked = questions.withColumns({"k_q": F.count(F.lit(1)).over(user), "max_aqord": F.max("aq_ord").over(user)})
-    return rank_share(marked, TEST, ["sumgrades", "userid"], dense=True, known_keys=staged_rows(questions))
+    return learner_ranks(questions, TEST, "userid", "sumgrades", "aq_ord", dense=True)
 
 
 def user_range_a(questions: DataFrame, estimator: str = "sample", test: Sequence[str] = tuple(TEST)) -> DataFrame:
@@ -361,10 +360,7 @@ OLD_TEST = ["course_id", "mid", "qz_id"]
 
 def user_range_q_old(attempts: DataFrame) -> DataFrame:
     """`attempts` is a staged table of graded_attempts."""
-    user = Window.partitionBy(*OLD_TEST, "userid")
-    marked = attempts.withColumns({"k_q": F.count(F.lit(1)).over(user), "max_aqord": F.max("aq_ord").over(user)})
-    return rank_share(marked, OLD_TEST, ["sumgrades", "userid"], dense=True, nulls="first",
-                      known_keys=staged_rows(attempts))
+    return learner_ranks(attempts, OLD_TEST, "userid", "sumgrades", "aq_ord", dense=True, nulls="first")
 
 
 def user_range_a_old(attempts: DataFrame) -> DataFrame:

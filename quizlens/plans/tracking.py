@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quizlens.functions import course_of_problem, problem_of_question, question_number, score_of
 from quizlens.operators.marts import quartile_pairs
-from quizlens.operators.ranking import rank_share
+from quizlens.operators.ranking import learner_ranks
 from quizlens.operators.reliability import user_fold, with_question_variance
-from quizlens.sinks.stage import stage, staged_rows
+from quizlens.sinks.stage import stage
 
 PROBLEM = ["course", "problem"]
 FIELDS = ["max_grade", "grade", "success", "input_type", "question_id", "question_txt", "user_id", "username"]
@@ -30,8 +30,7 @@ def answers_table(sheet: DataFrame) -> DataFrame:
 
 def ranked_answers(answers: DataFrame) -> DataFrame:
     """k (answers of the learner in the problem), rank and rank share by (grade, learner). `answers` is staged."""
-    k = F.count(F.lit(1)).over(Window.partitionBy(*PROBLEM, "user_id"))
-    return rank_share(answers.withColumn("k", k), PROBLEM, ["grade", "user_id"], known_keys=staged_rows(answers))
+    return learner_ranks(answers, PROBLEM, "user_id", "grade", count_as="k")
 
 
 def user_problems(answers: DataFrame) -> DataFrame:

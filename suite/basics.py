@@ -1,6 +1,5 @@
 """Filters, joins, aggregates, windows, sorts and scalar functions, each on whole test tables."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quizlens import functions as X
@@ -135,21 +134,17 @@ def join_left_with_condition(t):
 
 
 @query("join_computed_key", """
-WITH lists AS (SELECT l_orderkey, string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY l_linenumber, l_partkey) AS ids
-               FROM lineitem GROUP BY l_orderkey),
-picked AS (SELECT l_orderkey, ids, CAST(split_part(ids, ',', CAST(l_orderkey % 4 AS INTEGER) + 1) AS VARCHAR) AS item
-           FROM lists)
-SELECT l_orderkey, item, p_name FROM picked LEFT JOIN part ON p_partkey = TRY_CAST(item AS BIGINT)
+SELECT l_orderkey, l_linenumber, item, p_name FROM (
+  SELECT *, split_part(concat(l_suppkey, ',', l_partkey, ',', l_orderkey), ',', l_linenumber % 4 + 1) AS item FROM lineitem) x
+LEFT JOIN part ON p_partkey = TRY_CAST(item AS BIGINT)
 """)
 def join_computed_key(t):
-    """An id picked from an ordered list by position, then an equi-join."""
-    lists = t["lineitem"].groupBy("l_orderkey").agg(
-        F.array_join(F.transform(
-            F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey"))), lambda x: x["l_partkey"].cast("string")),
-            ",").alias("ids"))
-    picked = lists.withColumn("item", X.list_item(F.col("ids"), (F.col("l_orderkey") % 4).cast("int") + 1))
+    """An id picked from an ordered list by position, then an equi-join."""
+    ids = F.concat_ws(",", "l_suppkey", "l_partkey", "l_orderkey")
+    picked = t["lineitem"].withColumn("item", X.list_item(ids, F.col("l_linenumber") % 4 + 1))
     return (picked.withColumn("key", F.col("item").try_cast("bigint"))
-            .join(t["part"], F.col("p_partkey") == F.col("key"), "left").select("l_orderkey", "item", "p_name"))
+            .join(t["part"], F.col("p_partkey") == F.col("key"), "left")
+            .select("l_orderkey", "l_linenumber", "item", "p_name"))
 
 
 @query("join_self_roles", """
@@ -246,9 +241,11 @@ SELECT o_custkey, list_sort(list(o_orderpriority)) AS prios,
   string_agg(o_orderpriority, ',' ORDER BY o_orderpriority) AS listed FROM orders GROUP BY o_custkey
 """)
 def agg_sorted_array(t):
-    """A17, A18, F27, U1."""
-    return t["orders"].groupBy("o_custkey").agg(
-        F.sort_array(F.collect_list("o_orderpriority")).alias("prios")).withColumn(
+    """Equal entries are counted before they are collected."""
+    entries = counted(t["orders"], ["o_custkey", "o_orderpriority"], "n")
+    packed = F.sort_array(F.collect_list(F.struct("o_orderpriority", "n")))
+    prios = F.flatten(F.transform(packed, lambda e: F.array_repeat(e["o_orderpriority"], e["n"].cast("int"))))
+    return entries.groupBy("o_custkey").agg(prios.alias("prios")).withColumn(
         "listed", F.coalesce(F.array_join("prios", ","), F.lit("")))
 
 
@@ -291,7 +288,7 @@ FROM (SELECT *, sum(score) OVER (PARTITION BY item_id, user_id) AS resp_sum FROM
 """)
 def window_ranks(t):
     """The bucketed form, as for groups of unknown size."""
-    rows = t["answers"].withColumn("resp_sum", F.sum("score").over(Window.partitionBy("item_id", "user_id")))
+    rows = with_group_stats(t["answers"], ["item_id", "user_id"], resp_sum=F.sum("score"))
     return rank_share(rows, ["item_id"], ["resp_sum", "user_id"], bucket_rows=512).select(
         "item_id", "user_id", "question_id", "attempt_id", "score", "resp_sum", "rnk", r6(F.col("cd")).alias("cd"))
 
@@ -315,10 +312,9 @@ SELECT attempt_id, supp_id, question_id, user_id, score,
 FROM {answers}
 """)
 def window_group_values(t):
-    """Windows for one learner's rows, a partial aggregate and join for whole questions."""
-    user = Window.partitionBy("item_id", "user_id")
-    rows = t["answers"].withColumns({"k": F.count(F.lit(1)).over(user), "top_question": F.max("question_id").over(user),
-                                     "total": F.sum("score").over(user)})
+    """Partial aggregates joined back, so no group is gathered in one task."""
+    rows = with_group_stats(t["answers"], ["item_id", "user_id"], k=F.count(F.lit(1)), top_question=F.max("question_id"),
+                            total=F.sum("score"))
     return with_question_variance(rows, ["item_id", "question_id"], "score").select(
         "attempt_id", "supp_id", "question_id", "user_id", "score", "k", "top_question", "total",
         r6(F.col("question_var")).alias("question_var"))
@@ -377,7 +373,7 @@ FROM ranked GROUP BY item_id, question_id
 """)
 def weak_strong_pairs(t):
     """P11, A7."""
-    rows = stage(t["answers"].withColumn("resp_sum", F.sum("score").over(Window.partitionBy("item_id", "user_id")))
+    rows = stage(with_group_stats(t["answers"], ["item_id", "user_id"], resp_sum=F.sum("score"))
                  .select("item_id", "question_id", "user_id", "score", "resp_sum"))
     ranked = rank_share(rows, ["item_id"], ["resp_sum", "user_id"], known_keys=staged_rows(rows))
     return ranked.groupBy("item_id", "question_id").agg(

@@ -1,5 +1,7 @@
 """Course-progress funnel."""
 
+from collections import ChainMap
+
 from pyspark.sql import functions as F
 
 from quizlens.operators.quality import control_sum
@@ -31,9 +33,7 @@ GROUP BY cp.user_ext_id, cp.course_id, s.branch_ext_id, cp.item_ext_id
 
 
 def inputs(t):
-    p = dict(tables(t))
-    p["csess_event"] = t["f_csess"]
-    return p
+    return ChainMap({"csess_event": t["f_csess"]}, tables(t))
 
 
 def prog(t):

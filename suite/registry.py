@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,8 +58,24 @@ class Tables:
                 raise KeyError(name)
         return self._made[name]
 
-    def view(self, names: dict[str, str]) -> dict[str, DataFrame]:
-        return {short: self[full] for short, full in names.items()}
+    def view(self, names: dict[str, str]) -> Mapping[str, DataFrame]:
+        return _View(self, names)
+
+
+class _View(Mapping):
+    """Role tables under the names the plans use, each made when it is asked for."""
+
+    def __init__(self, tables: Tables, names: dict[str, str]):
+        self._tables, self._names = tables, names
+
+    def __getitem__(self, short: str) -> DataFrame:
+        return self._tables[self._names[short]]
+
+    def __iter__(self):
+        return iter(self._names)
+
+    def __len__(self) -> int:
+        return len(self._names)
 
 
 def _needed(sql: str, seen: list[str]) -> None:

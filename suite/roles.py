@@ -78,7 +78,7 @@ SELECT n_regionkey + 1 AS course_id, concat('U', o_custkey) AS user_ext_id, conc
        concat('R', l_orderkey, '_', l_suppkey, '_', l_linenumber) AS response_ext_id
 FROM {lineitem} JOIN {orders} ON o_orderkey = l_orderkey JOIN {supplier} ON s_suppkey = l_suppkey
 JOIN {nation} ON n_nationkey = s_nationkey
-""", stored=True)
+""")
 # the option a learner took stands as selected, the other one as not selected in a part of the rows only
 role("p_cqo", """
 SELECT DISTINCT response_ext_id, option_ext_id, correct, selected, course_id FROM (
@@ -94,7 +94,7 @@ SELECT DISTINCT response_ext_id, option_ext_id, correct, selected, course_id FRO
   FROM {lineitem} JOIN {supplier} ON s_suppkey = l_suppkey JOIN {nation} ON n_nationkey = s_nationkey
   WHERE l_tax > 0.04
 ) both_options
-""", stored=True)
+""")
 
 PROVIDER = {
     "course": "p_course", "branch": "p_branch", "module": "p_module", "lesson": "p_lesson", "item": "p_item",
