@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quizlens.operators.frames import join_on_keys, with_group_stats
+from quizlens.operators.frames import join_on_keys
 from quizlens.sinks.stage import stage, staged_rows
 
 # One in so many folded rows of a group becomes a cut, so a bucket holds about this many rows.
@@ -34,6 +34,7 @@ def rank_share(
     bucket_rows: int = BUCKET_ROWS,
     known_keys: int | None = None,
     weight: str | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Adds rank() (or dense_rank()) and cume_dist() by group in ascending order of the order columns.
 
@@ -46,12 +47,16 @@ def rank_share(
     `df` is read twice (keys only, then whole), so stage it when it is expensive to make. `known_keys` is a proven
     upper bound of the number of distinct (group, order key) pairs, e.g. the row count of a staged table; when it
     fits one bucket, no group needs to be cut. With `weight` a row of df stands for that many rows.
+    `unique` says that no two rows share a (group, order key), so nothing has to be folded and joined back.
     """
     if nulls not in ("last", "first"):
         raise ValueError("nulls must be 'last' or 'first'")
     groups, order = list(groups), list(order)
-    rows = F.sum(weight) if weight else F.count(F.lit(1))
-    folded = df.groupBy(*groups, *order).agg(rows.alias("__n"))
+    if unique:
+        folded = df.withColumn("__n", F.col(weight) if weight else F.lit(1).cast("bigint"))
+    else:
+        rows = F.sum(weight) if weight else F.count(F.lit(1))
+        folded = df.groupBy(*groups, *order).agg(rows.alias("__n"))
     if known_keys is not None and known_keys <= bucket_rows:
         ranked = _ranks_in_one_bucket(folded, groups, order, nulls)
     else:
@@ -62,6 +67,8 @@ def rank_share(
         out.append(value.cast("bigint").alias(rank))
     if share:
         out.append((F.col("__upto") / F.col("__total")).alias(share))
+    if unique:
+        return ranked.select(*df.columns, *out)
     return join_on_keys(df, ranked.select(*groups, *order, *out), groups + order)
 
 
@@ -121,12 +128,15 @@ def learner_ranks(rows: DataFrame, test: Sequence[str], user: str, score: str, q
     """
     test, keys = list(test), [*test, user, score]
     last = [F.max(question_order).alias("__last")] if question_order else []
-    folded = stage(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *last), "learners")
-    marks = {count_as: F.sum("__n")} | ({"max_aqord": F.max("__last")} if question_order else {})
-    marked = with_group_stats(folded, [*test, user], **marks)
-    ranked = rank_share(marked, test, [score, user], dense=dense, nulls=nulls, known_keys=staged_rows(folded),
-                        weight="__n")
-    return join_on_keys(rows, ranked.drop("__n", "__last"), keys)
+    folded = stage(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), *last), "learners")
+    # a learner has one folded row per distinct score in the test
+    learner = Window.partitionBy(*test, user)
+    marks = {count_as: F.sum("__rows").over(learner)}
+    if question_order:
+        marks["max_aqord"] = F.max("__last").over(learner)
+    ranked = rank_share(folded.withColumns(marks), test, [score, user], dense=dense, nulls=nulls,
+                        known_keys=staged_rows(folded), weight="__rows", unique=True)
+    return join_on_keys(rows, ranked.drop("__rows", "__last"), keys)
 
 
 def strong(cd: Column | str = "cd", cut: float = 0.75) -> Column:

@@ -85,6 +85,10 @@ def test_bucketed_rank_equals_window(spark, bucket_rows):
     assert rows(got) == rows(want)
     known = rank_share(df, ["g"], ["total", "u"], share=None, dense=True, known_keys=3000)
     assert rows(known) == rows(want)
+    folded = df.groupBy("g", "total", "u").agg(F.count(F.lit(1)).alias("n"))
+    heavy = rank_share(folded, ["g"], ["total", "u"], bucket_rows=bucket_rows, weight="n", unique=True).drop("n")
+    want = df.select("g", "total", "u", F.rank().over(w).cast("bigint"), F.cume_dist().over(w)).distinct()
+    assert rows(heavy) == rows(want)
 
 
 def attempts(spark):
