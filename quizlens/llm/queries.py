@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quizlens.llm import quality
+from quizlens.llm import mixing, packing, quality, secrets, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -58,3 +58,56 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         (~quality.passes("base/1")).alias("base_failed"), quality.passes(POLICY).alias("kept"))
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, from labels of the training fold only."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return toxicity.score(docs, model).select("doc_id", (~toxicity.training_fold(F.col("doc_id"))).alias("held_out"), "score", "predicted")
+
+
+URL_RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"))
+
+
+def _urls_sql() -> str:
+    rules = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
+    return rf"""
+WITH r(rh, rp, rv) AS (VALUES {rules}),
+u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages)
+SELECT page_id, host, path, rh || rp AS "rule", coalesce(rv, 'allow') AS verdict
+FROM u LEFT JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)
+QUALIFY row_number() OVER (PARTITION BY page_id, host, path ORDER BY length(rh || rp) DESC) = 1
+"""
+
+
+@query("op6_url_filter", _urls_sql())
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of the allow and block entries on every page's url."""
+    return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+
+
+@query("op2_mixing")
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slots of all documents when sources are mixed by the square root of their size, in blocks of 65536 characters."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mix(docs.select("doc_id", "source", F.length("text").alias("chars")), F.col("chars")).drop("chars")
+
+
+@query("op5_packing")
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in bins of 2048 words; exact copies are kept apart, and at most two pieces of a source share a bin."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return packing.pack(docs, packing.word_count(docs["text"]), F.xxhash64(docs["text"]))
+
+
+@query("op1_secrets")
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Findings of the secret scan in every document."""
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    of = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("bigint")
+    base = F.filter("spans", lambda s: s["kind"] < 3)
+    return found.select("doc_id", of(0).alias("n_assign"), of(1).alias("n_access"), of(2).alias("n_hex"), F.sha2(secrets.as_text(base), 256).alias("base_sha256"),
+                        secrets.as_text(F.col("spans")).alias("spans"), of(3).alias("n_novel"))
