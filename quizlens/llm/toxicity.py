@@ -1,6 +1,6 @@
 """Toxicity classifier with counterfactual regularisation.
 
-A logistic regression over the presence of words is fitted on a bounded sample of labelled rows. For every sampled text that names a
+A logistic regression over the presence of words and word beginnings is fitted on a bounded sample of labelled rows. For every sampled text that names a
 group of people a counterfactual twin is made, in which each identity term is swapped for another of its group of terms; the loss adds
 `fairness * (logit(text) - logit(twin))^2`, so that naming a group, or which one, moves the score as little as possible and neutral
 mentions are not taken for insults. Scores need only the words of the text, never labels, ids, languages or sources.
@@ -42,6 +42,11 @@ def word_set(text: bytes) -> set[bytes]:
     return set(text.translate(_TABLE).split())
 
 
+def features(words: set[bytes]) -> set[bytes]:
+    """The words, and their first 4, 5 and 6 bytes (marked by a caret), so that inflected and compound forms share weight."""
+    return words | {b"^" + w[:n] for w in words for n in (4, 5, 6) if len(w) > n}
+
+
 @dataclass
 class Model:
     """Intercept and word weights; at most `max_words` of them."""
@@ -50,7 +55,7 @@ class Model:
     weights: dict[bytes, float] = field(default_factory=dict)
 
     def score(self, text: bytes | None) -> float:
-        z = self.intercept + math.fsum(self.weights[w] for w in word_set(text or b"") & self.weights.keys())
+        z = self.intercept + math.fsum(self.weights[w] for w in features(word_set(text or b"")) & self.weights.keys())
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, z))))
 
 
@@ -73,7 +78,7 @@ def training_fold(doc_id: Column, folds: int = 5) -> Column:
 
 
 def sample(docs: DataFrame, labels: DataFrame, sample_per_class: int, groups=IDENTITY_TERMS) -> list[tuple[int, list[set[bytes]]]]:
-    """(label, [words, words of the twin]) of the sampled rows; its size is bounded by the parameter."""
+    """(label, [features, features of the twin]) of the sampled rows; its size is bounded by the parameter."""
     usable = labels.where(training_fold(F.col("doc_id")) & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     parts = [usable.where(test).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_per_class) for test in ("toxic = 1", "toxic <> 1")]
     # at most 2 * sample_per_class ids: a bounded broadcast
@@ -89,11 +94,11 @@ def sample(docs: DataFrame, labels: DataFrame, sample_per_class: int, groups=IDE
                  pa.array([None if s is None else b" ".join(sorted(s)) for s in twins], pa.binary())], ["toxic", "words", "twin"])
 
     rows = texts.select("__toxic", "__text").mapInArrow(words, "toxic INT, words BINARY, twin BINARY").collect()
-    return [(int(r.toxic == 1), [set(bytes(x).split()) for x in (r.words, r.twin) if x is not None]) for r in rows]
+    return [(int(r.toxic == 1), [features(set(bytes(x).split())) for x in (r.words, r.twin) if x is not None]) for r in rows]
 
 
-def fit(rows: list[tuple[int, list[set[bytes]]]], max_words: int = 4096, strength: float = 3.0, ridge: float = 1e-3,
-        fairness: float = 1.0, steps: int = 400) -> Model:
+def fit(rows: list[tuple[int, list[set[bytes]]]], max_words: int = 4096, strength: float = 3.0, ridge: float = 1e-5,
+        fairness: float = 1.0, steps: int = 800) -> Model:
     """Fits the model on sampled rows: word selection by association, then gradient descent (Adam) on the regularised loss."""
     n1 = sum(y for y, _ in rows)
     n0 = len(rows) - n1
