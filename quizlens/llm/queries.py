@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quizlens.llm import mixing, packing, quality, secrets, toxicity, urls
+from quizlens.llm import jaccard, mixing, packing, quality, secrets, topk, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -111,3 +111,39 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("spans", lambda s: s["kind"] < 3)
     return found.select("doc_id", of(0).alias("n_assign"), of(1).alias("n_access"), of(2).alias("n_hex"), F.sha2(secrets.as_text(base), 256).alias("base_sha256"),
                         secrets.as_text(F.col("spans")).alias("spans"), of(3).alias("n_novel"))
+
+
+_TOPK_SQL = """
+WITH v AS (SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS c FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+e AS (SELECT vec_id, unnest(c) AS x, generate_subscripts(c, 1) AS d FROM v),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score FROM e q JOIN e c ON q.d = c.d AND q.vec_id <> c.vec_id
+      WHERE q.vec_id % 100 = 0 GROUP BY ALL)
+SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS "rank", vec_id, score FROM s
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 10
+"""
+
+
+@query("op3_topk", _TOPK_SQL)
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best other vectors for each vector whose id is divisible by 100."""
+    return topk.top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("id") % 100 == 0)
+
+
+_JACCARD_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce("text", ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda v: v <> '') AS ws FROM documents),
+g AS (SELECT DISTINCT doc_id, hash(x) AS h FROM (
+        SELECT doc_id, CASE WHEN len(ws) < 5 THEN [ws] ELSE [list_slice(ws, i, i + 4) FOR i IN generate_series(1, len(ws) - 4)] END AS xs FROM w WHERE len(ws) > 0), unnest(xs) AS u(x)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM g a JOIN g b ON a.h = b.h AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS MATERIALIZED (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 75 * (x.n + y.n - o)),
+r(doc_id, c) AS (SELECT doc_id, doc_id FROM n UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.doc_id)
+SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(m.c, w.doc_id) AS component_id
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT doc_id, min(c) AS c FROM r GROUP BY doc_id) m USING (doc_id)
+"""
+
+
+@query("op4_ngram_jaccard", _JACCARD_SQL)
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of near duplicates of every document."""
+    return jaccard.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
