@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quizlens.llm import jaccard, mixing, packing, quality, secrets, topk, toxicity, urls
+from quizlens.llm import jaccard, mixing, packing, quality, secrets, substrings, topk, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -147,3 +147,9 @@ FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT doc_id, min(c) AS c FROM r G
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of near duplicates of every document."""
     return jaccard.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op8_repeated_substrings")
+def op8_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that lie in a 400-byte string which starts anywhere else too, removed."""
+    return substrings.repeated(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("runs")
