@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quizlens.llm import jaccard, mixing, packing, quality, secrets, substrings, topk, toxicity, urls
+from quizlens.llm import jaccard, mixing, ngram_lm, packing, quality, secrets, substrings, topk, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -153,3 +153,12 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that lie in a 400-byte string which starts anywhere else too, removed."""
     return substrings.repeated(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("runs")
+
+
+@query("op7_ngram_lm")
+def op7_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document under the model of the training fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    learn = ngram_lm.training_fold(F.col("doc_id"))
+    scored = ngram_lm.score(docs, learn)
+    return scored.select("doc_id", (~learn).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
