@@ -154,7 +154,7 @@ def block_pairs(g: np.ndarray, cls: np.ndarray, n: np.ndarray, place: np.ndarray
 
 
 def join(docs: DataFrame, text: str = "text", id: str = "doc_id", max_frequent: int = 1 << 20, short: int = 64) -> DataFrame:
-    """(doc_id, n_shingles, component_id) per document."""
+    """(doc_id, n_shingles, component_id, text_key) per document; text_key is a hash of the text, which tells rows of one id apart."""
     spark = docs.sparkSession
     given = docs.select(docs[id].cast("bigint").alias("__id"), docs[text].alias("__text"), F.xxhash64(docs[text]).alias("__key"))
     blocks = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -261,8 +261,23 @@ def join(docs: DataFrame, text: str = "text", id: str = "doc_id", max_frequent:
     named = _with_root(rows.where("n > 0").groupBy("cls").agg(F.min("id").alias("least")), "cls", roots, "root")
     smallest = named.groupBy("root").agg(F.min("least").alias("component"))
     of_class = named.join(smallest, "root").select("cls", "component")
-    out = rows.select("id", "n", "cls").join(of_class, "cls", "left")
-    return out.select(F.col("id").alias(id), F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component")).alias("component_id"))
+    out = rows.join(of_class, "cls", "left")
+    return out.select(F.col("id").alias(id), F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component")).alias("component_id"), F.col("key").alias("text_key"))
+
+
+def one_of_each(docs: DataFrame, text: str = "text", id: str = "doc_id", **options) -> DataFrame:
+    """docs with one document of each component, the one with the smallest id (of several texts with that id, one of them).
+
+    Documents without words, and those with a null id, are in no group and stay.
+    """
+    found = join(docs, text, id, **options)
+    free = (F.col("n_shingles") == 0) | F.col(id).isNull()
+    first = found.where(~free).groupBy("component_id").agg(F.min(F.struct(id, "text_key")).alias("r")).select(F.col("r." + id).alias("__id"), F.col("r.text_key").alias("__key"), F.lit(False).alias("__free"))
+    keep = first.unionByName(found.where(free).select(F.col(id).alias("__id"), F.col("text_key").alias("__key"), F.lit(True).alias("__free")).distinct())
+    kept = docs.join(keep.hint("shuffle_hash"), docs[id].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text]) == F.col("__key")))
+    # a repeated row is a copy too; rows that are free are told apart
+    kept = kept.withColumn("__row", F.when(F.col("__free"), F.monotonically_increasing_id()).otherwise(-1))
+    return kept.dropDuplicates(["__id", "__key", "__row"]).select(*docs.columns)
 
 
 def _near(pairs: DataFrame, maps: DataFrame) -> DataFrame:

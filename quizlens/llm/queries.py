@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from quizlens.llm import jaccard, mixing, ngram_lm, packing, quality, secrets, substrings, topk, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 POLICY = "strict/2"
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
 
 
 def query(name: str, sql: str | None = None):
@@ -146,7 +150,7 @@ FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT doc_id, min(c) AS c FROM r G
 @query("op4_ngram_jaccard", _JACCARD_SQL)
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of near duplicates of every document."""
-    return jaccard.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return jaccard.join(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_shingles", "component_id")
 
 
 @query("op8_repeated_substrings")

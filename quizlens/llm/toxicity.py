@@ -147,15 +147,16 @@ def train(docs: DataFrame, labels: DataFrame, sample_per_class: int = 4000, **op
     return fit(sample(docs, labels, sample_per_class), **options)
 
 
-def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """docs without `text`, with `score` and `predicted`. The model travels with the task: it holds at most max_words words."""
-    rest = [c for c in docs.columns if c not in (text, "score", "predicted")]
-    given = docs.select(*[docs[c] for c in rest], docs[text].alias("__text"))
+def score(docs: DataFrame, model: Model, text: str = "text", keep: bool = False) -> DataFrame:
+    """docs with `score` and `predicted`; the text itself only with keep=True. The model travels with the task: at most max_words words."""
+    rest = [c for c in docs.columns if c not in ("score", "predicted") and (keep or c != text)]
+    given = docs.select(*[docs[c] for c in rest], *([] if keep else [docs[text].alias("__text")]))
+    source = text if keep else "__text"
     schema = docs.select(*[docs[c] for c in rest], F.lit(0.0).alias("score"), F.lit(0).alias("predicted")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            s = np.array([model.score(None if t is None else t.encode()) for t in b.column("__text").to_pylist()], float)
+            s = np.array([model.score(None if t is None else t.encode()) for t in b.column(source).to_pylist()], float)
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in rest), pa.array(s), pa.array((s >= 0.5).astype(np.int32))], [*rest, "score", "predicted"])
 
     return given.mapInArrow(run, schema)
