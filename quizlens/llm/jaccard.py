@@ -12,10 +12,11 @@ follow from the sizes. For sets of n and m elements a link needs an overlap of a
    up to `short` documents: it adds up, per pair, the overlaps in this block, and leaves out pairs of which the positions show that the
    overlap cannot be reached. Longer columns are not multiplied out: each document is paired with the column's smallest only.
 3. Pairs are cut by a second bound, the number of bits in which the sets' parity bitmaps differ (at most the size of the symmetric difference).
-4. The pair with the largest partial overlap of each class is verified on whole texts first, and the links joined into components. What is left
-   are pairs between different components; those of long columns are made now, between the documents outside a column's largest
-   component and all others. They pass the same bounds and are verified. No link between different texts is lost, and a group of
-   copies is never multiplied out.
+4. In each of a few rounds every component (at first, every class) verifies its pair with the largest partial overlap to another one on whole texts,
+   and links join components; long columns offer one pair between each of their components and their largest one. What is left are pairs
+   between different components; those of long columns are made now, between the documents outside a column's largest component and
+   all others. They pass the same bounds and are verified. No link between different texts is lost, and a group of copies is never
+   multiplied out.
 
 Classes are named by a 64-bit hash of their sets, n-grams by 64-bit hashes. Links are decided on overlaps counted exactly over these.
 
@@ -153,7 +154,7 @@ def block_pairs(g: np.ndarray, cls: np.ndarray, n: np.ndarray, place: np.ndarray
     return a[new], b[new], np.diff(np.append(new, len(a))), rest
 
 
-def join(docs: DataFrame, text: str = "text", id: str = "doc_id", max_frequent: int = 1 << 20, short: int = 64) -> DataFrame:
+def join(docs: DataFrame, text: str = "text", id: str = "doc_id", max_frequent: int = 1 << 20, short: int = 4, rounds: int = 3) -> DataFrame:
     """(doc_id, n_shingles, component_id, text_key) per document; text_key is a hash of the text, which tells rows of one id apart."""
     spark = docs.sparkSession
     given = docs.select(docs[id].cast("bigint").alias("__id"), docs[text].alias("__text"), F.xxhash64(docs[text]).alias("__key"))
@@ -234,28 +235,28 @@ def join(docs: DataFrame, text: str = "text", id: str = "doc_id", max_frequent:
     hubs = long.groupBy("g").agg(F.min("cls").alias("hub"))
     stars = long.join(hubs, "g").where("cls <> hub").groupBy(F.col("hub").alias("a"), F.col("cls").alias("b")).agg(F.count(F.lit(1)).alias("c"))
 
-    # 3. and 4. strongest pair of each class first, then what still lies between components
+    # 3. and 4. in each round every component verifies its strongest pair to another one; then all that still lies between components
     near = stage(_near(pairs.unionByName(stars), maps), "ngram-pairs")
-    ends = near.select(F.col("b").alias("cls"), "c", F.col("a").alias("other")).unionByName(near.select(F.col("a").alias("cls"), "c", F.col("b").alias("other")))
-    best = ends.groupBy("cls").agg(F.max(F.struct("c", "other")).alias("m")).select(F.least("cls", "m.other").alias("a"), F.greatest("cls", "m.other").alias("b")).distinct()
-    links = stage(_verified(best, texts), "ngram-links")
-    roots = components(links)
-
-    left = _apart(near, roots)
-    in_long = _with_root(long, "cls", roots, "root")
-    mixed = in_long.groupBy("g").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    per_root = in_long.join(mixed.select("g"), "g").groupBy("g", "root").count()
-    largest = per_root.groupBy("g").agg(F.max(F.struct("count", "root")).alias("m")).select("g", F.col("m.root").alias("most"))
-    open_lists = stage(in_long.join(largest, "g"), "ngram-open")
-    x, y = open_lists.where("root <> most").alias("x"), open_lists.alias("y")
+    links, done = near.select("a", "b").limit(0), near.select("a", "b").limit(0)
+    roots = near.select(F.col("a").alias("id"), F.col("b").alias("root")).limit(0)
+    for _ in range(rounds):
+        crossing = _apart(near.unionByName(_near(_list_pairs(_open_columns(long, roots)), maps)).join(done, ["a", "b"], "left_anti"), roots)
+        ends = crossing.select(F.col("ra").alias("root"), "c", "a", "b").unionByName(crossing.select(F.col("rb").alias("root"), "c", "a", "b"))
+        best = stage(ends.groupBy("root").agg(F.max(F.struct("c", "a", "b")).alias("m")).select("m.a", "m.b").distinct(), "ngram-best")
+        if best.isEmpty():  # every pair has been decided
+            break
+        done = stage(done.unionByName(best), "ngram-done")
+        links = stage(links.unionByName(_verified(best, texts)), "ngram-links")
+        roots = components(links)
+
+    open_columns = stage(_open_columns(long, roots), "ngram-open")
+    x, y = open_columns.where("root <> most").alias("x"), open_columns.alias("y")
     across = x.join(y, F.col("x.g") == F.col("y.g")).where(
         (F.col("x.root") != F.col("y.root")) & ((F.col("y.root") == F.col("y.most")) | (F.col("x.cls") < F.col("y.cls")))
         & (7 * F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place")) >= 3 * (F.col("x.n") + F.col("y.n"))))
     late = across.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b"), F.lit(1).cast("bigint").alias("c")).distinct()
-    late = stage(_near(late, maps), "ngram-late")
-    done = best.select("a", "b")
-    rest = left.select("a", "b").unionByName(late.select("a", "b")).distinct().join(done, ["a", "b"], "left_anti")
-    more = stage(_verified(rest, texts), "ngram-links")
+    left = _apart(near, roots).select("a", "b").unionByName(_near(late, maps).select("a", "b")).distinct()
+    more = stage(_verified(left.join(done, ["a", "b"], "left_anti"), texts), "ngram-links")
     roots = components(links.unionByName(more))
 
     named = _with_root(rows.where("n > 0").groupBy("cls").agg(F.min("id").alias("least")), "cls", roots, "root")
@@ -316,6 +317,23 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "ta", "tb").mapInArrow(check, "a BIGINT, b BIGINT")
 
 
+def _open_columns(long: DataFrame, roots: DataFrame) -> DataFrame:
+    """Entries of the long columns that hold several components, with their component and the column's largest one."""
+    entries = _with_root(long, "cls", roots, "root")
+    mixed = entries.groupBy("g").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("g")
+    entries = entries.join(mixed, "g")
+    largest = entries.groupBy("g", "root").count().groupBy("g").agg(F.max(F.struct("count", "root")).alias("m")).select("g", F.col("m.root").alias("most"))
+    return entries.join(largest, "g")
+
+
+def _list_pairs(open_columns: DataFrame) -> DataFrame:
+    """One document of each component of a column with one of its largest component."""
+    first = open_columns.groupBy("g", "root", "most").agg(F.min("cls").alias("cls"))
+    hub = first.where("root = most").select("g", F.col("cls").alias("hub"))
+    both = first.where("root <> most").join(hub, "g")
+    return both.groupBy(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).agg(F.count(F.lit(1)).alias("c"))
+
+
 def _with_root(df: DataFrame, key: str, roots: DataFrame, name: str) -> DataFrame:
     found = df.join(roots.select(F.col("id").alias(key), F.col("root").alias("__root")), key, "left")
     return found.withColumn(name, F.coalesce("__root", key)).drop("__root")
@@ -323,4 +341,4 @@ def _with_root(df: DataFrame, key: str, roots: DataFrame, name: str) -> DataFram
 
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     """The pairs whose ends are in different components."""
-    return _with_root(_with_root(pairs, "a", roots, "ra"), "b", roots, "rb").where("ra <> rb").select("a", "b", "c")
+    return _with_root(_with_root(pairs, "a", roots, "ra"), "b", roots, "rb").where("ra <> rb")
