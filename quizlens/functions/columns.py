@@ -14,7 +14,7 @@ def list_item(ids: Column, n: Column | int) -> Column:
 
 def suffix_number(name: Column, prefix: str) -> Column:
     """The number after a prefix: 'choice10' -> 10. Null when there is none."""
-    return F.substring(name, len(prefix) + 1, 100).try_cast("int")
+    return F.substring(name, F.lit(len(prefix) + 1), F.length(name)).try_cast("int")
 
 
 def last_digit(name: Column) -> Column:
@@ -56,8 +56,8 @@ def file_name(url: Column) -> Column:
 
 
 def log_time(text: Column) -> Column:
-    """Time of a log line to the second, from ISO text with fraction and zone."""
-    return F.to_timestamp_ntz(F.substring(text, 1, 19), F.lit("yyyy-MM-dd'T'HH:mm:ss"))
+    """Time of a log line to the second, from ISO text with fraction and zone; null when it is no time."""
+    return F.try_to_timestamp(F.substring(text, 1, 19), F.lit("yyyy-MM-dd'T'HH:mm:ss")).cast("timestamp_ntz")
 
 
 # Block locators: block-v1:<course>+type@<kind>+block@<id>
@@ -78,14 +78,13 @@ def block_part(locator: Column) -> Column:
 
 def course_of_problem(problem_id: Column) -> Column:
     """Text after the 13-character locator prefix, up to the first plus sign."""
-    rest = F.substring(problem_id, 14, 100)
+    rest = F.substring(problem_id, F.lit(14), F.length(problem_id))
     return F.substring(rest, F.lit(1), F.greatest(F.instr(rest, "+") - 1, F.lit(0)))
 
 
 def problem_of_question(question_id: Column) -> Column:
     """Text before the first underscore."""
-    head = F.substring(question_id, 1, 100)
-    return F.substring(question_id, F.lit(1), F.greatest(F.instr(head, "_") - 1, F.lit(0)))
+    return F.substring(question_id, F.lit(1), F.greatest(F.instr(question_id, "_") - 1, F.lit(0)))
 
 
 def question_number(question_id: Column) -> Column:

@@ -22,43 +22,33 @@ class ReferenceRule:
     linked_field: str | None = None
 
 
+def _gaps(tables: Mapping[str, DataFrame], rule: ReferenceRule) -> DataFrame:
+    refs = tables[rule.linked].select(F.col(rule.linked_field or rule.field).alias("__ref"))
+    base = tables[rule.base].select(F.col(rule.field).alias("__base"))
+    return refs.join(base, F.col("__ref") == F.col("__base"), "left_anti")
+
+
+def _named(rule: ReferenceRule) -> list[Column]:
+    return [F.lit(rule.base).alias("name"), F.lit(rule.field).alias("field"), F.lit(rule.linked).alias("foreign_table")]
+
+
 def missing_rows(tables: Mapping[str, DataFrame], rules: Sequence[ReferenceRule]) -> DataFrame:
-    """One row per reference without a base row: (name, foreign_table, missed_id). Null references are included as
+    """One row per reference without a base row: (name, field, foreign_table, missed_id). Null references are included as
     null ids, because nothing equals null."""
-    parts = []
-    for rule in rules:
-        link = rule.linked_field or rule.field
-        refs = tables[rule.linked].select(F.col(link).alias("__ref"))
-        base = tables[rule.base].select(F.col(rule.field).alias("__base"))
-        gaps = refs.join(base, F.col("__ref") == F.col("__base"), "left_anti")
-        parts.append(gaps.select(F.lit(rule.base).alias("name"), F.lit(rule.linked).alias("foreign_table"),
-                                 F.col("__ref").cast("string").alias("missed_id")))
+    parts = [_gaps(tables, r).select(*_named(r), F.col("__ref").cast("string").alias("missed_id")) for r in rules]
     return reduce(DataFrame.unionByName, parts)
 
 
-def missing_references(tables: Mapping[str, DataFrame], rules: Sequence[ReferenceRule],
-                       most_listed: int = 1_000_000) -> DataFrame:
-    """One row per rule: (name, foreign_table, missed_rows) with the sorted list of missing ids, '' when none.
+def missing_references(tables: Mapping[str, DataFrame], rules: Sequence[ReferenceRule]) -> DataFrame:
+    """One row per rule: (name, field, foreign_table, missed_rows) with the list of missing ids in the order of the ids'
+    own type, '' when none.
 
-    A list is one value, so a rule with more gaps than `most_listed` fails with a message that points to
-    missing_rows, which has one row per gap and no limit.
+    Each rule is one aggregate over its own gaps, so ids of different types keep their order. A list is one value by
+    nature; missing_rows has one row per gap.
     """
-    spark = next(iter(tables.values())).sparkSession
-    keys = ["name", "foreign_table"]
-    heads = spark.createDataFrame([(r.base, r.linked) for r in rules], "name string, foreign_table string").distinct()
-    gaps = missing_rows(tables, rules).where(F.col("missed_id").isNotNull())
-    sizes = counted(gaps, keys, "n")
-    listed = (
-        gaps.join(sizes.where(F.col("n") <= most_listed), keys, "left_semi")
-        .groupBy(*keys).agg(F.expr("listagg(missed_id, ',') WITHIN GROUP (ORDER BY missed_id)").alias("ids"))
-    )
-    too_many = F.raise_error(F.concat(F.lit("too many missing references to list, use missing_rows: "),
-                                      F.col("foreign_table")))
-    return (
-        heads.join(sizes, keys, "left").join(listed, keys, "left")
-        .select(*keys, F.when(F.col("n") > most_listed, too_many.cast("string"))
-                .otherwise(F.coalesce("ids", F.lit(""))).alias("missed_rows"))
-    )
+    listed = F.expr("coalesce(listagg(CAST(__ref AS STRING), ',') WITHIN GROUP (ORDER BY __ref), '')")
+    parts = [_gaps(tables, r).where(F.col("__ref").isNotNull()).agg(listed.alias("missed_rows")).select(*_named(r), "missed_rows") for r in rules]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:

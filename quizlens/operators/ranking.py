@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quizlens.operators.frames import join_on_keys
-from quizlens.sinks.stage import stage, staged_rows
+from quizlens.sinks.stage import stage
 
 # One in so many folded rows of a group becomes a cut, so a bucket holds about this many rows.
 BUCKET_ROWS = 1 << 20
@@ -32,7 +32,6 @@ def rank_share(
     dense: bool = False,
     nulls: str = "last",
     bucket_rows: int = BUCKET_ROWS,
-    known_keys: int | None = None,
     weight: str | None = None,
     unique: bool = False,
 ) -> DataFrame:
@@ -44,9 +43,7 @@ def rank_share(
     rows before the bucket are added. No group is sorted whole in one task, and nothing is approximate.
     For a descending key pass its negation as a column.
 
-    `df` is read twice (keys only, then whole), so stage it when it is expensive to make. `known_keys` is a proven
-    upper bound of the number of distinct (group, order key) pairs, e.g. the row count of a staged table; when it
-    fits one bucket, no group needs to be cut. With `weight` a row of df stands for that many rows.
+    The fold is staged, so df is read once for it. With `weight` a row of df stands for that many rows.
     `unique` says that no two rows share a (group, order key), so nothing has to be folded and joined back.
     """
     if nulls not in ("last", "first"):
@@ -57,10 +54,7 @@ def rank_share(
     else:
         rows = F.sum(weight) if weight else F.count(F.lit(1))
         folded = df.groupBy(*groups, *order).agg(rows.alias("__n"))
-    if known_keys is not None and known_keys <= bucket_rows:
-        ranked = _ranks_in_one_bucket(folded, groups, order, nulls)
-    else:
-        ranked = _running_ranks(folded, groups, order, nulls, bucket_rows)
+    ranked = _running_ranks(stage(folded, "ranks"), groups, order, nulls, bucket_rows)
     out = []
     if rank:
         value = F.col("__keys") if dense else F.col("__upto") - F.col("__n") + 1
@@ -76,14 +70,15 @@ def _ordering(order: list[str], nulls: str) -> list[Column]:
     return [F.col(o).asc_nulls_last() if nulls == "last" else F.col(o).asc_nulls_first() for o in order]
 
 
-def _ranks_in_one_bucket(folded: DataFrame, groups: list[str], order: list[str], nulls: str) -> DataFrame:
-    whole = Window.partitionBy(*groups)
-    upto = whole.orderBy(*_ordering(order, nulls)).rowsBetween(Window.unboundedPreceding, 0)
-    return folded.withColumns({
-        "__upto": F.sum("__n").over(upto),
-        "__keys": F.count(F.lit(1)).over(upto),
-        "__total": F.sum("__n").over(whole),
-    })
+def _cuts_below(cuts: Column, key: Column) -> Column:
+    """Number of entries of a sorted array that are below the key, by binary search."""
+    size = F.size(cuts)
+    middle = lambda a: F.floor((a["low"] + a["high"]) / 2).cast("int")
+    step = lambda a, _: F.when(a["low"] >= a["high"], a).when(
+        F.get(cuts, middle(a)) < key, F.struct((middle(a) + 1).alias("low"), a["high"].alias("high"))).otherwise(
+        F.struct(a["low"].alias("low"), middle(a).alias("high")))
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(size + 1)).cast("int"))
+    return F.aggregate(steps, F.struct(F.lit(0).alias("low"), size.alias("high")), step, lambda a: a["low"])
 
 
 def _running_ranks(folded: DataFrame, groups: list[str], order: list[str], nulls: str, bucket_rows: int) -> DataFrame:
@@ -94,8 +89,7 @@ def _running_ranks(folded: DataFrame, groups: list[str], order: list[str], nulls
     )
     bucketed = (
         join_on_keys(folded.withColumn("__key", key), cuts, groups, "left")
-        .withColumn("__bucket", F.coalesce(
-            F.size(F.filter("__cuts", lambda c: c < F.col("__key"))), F.lit(0)))
+        .withColumn("__bucket", F.when(F.col("__cuts").isNull(), F.lit(0)).otherwise(_cuts_below(F.col("__cuts"), F.col("__key"))))
         .drop("__cuts", "__key")
     )
     by_bucket = Window.partitionBy(*groups).orderBy("__bucket")
@@ -134,8 +128,7 @@ def learner_ranks(rows: DataFrame, test: Sequence[str], user: str, score: str, q
     marks = {count_as: F.sum("__rows").over(learner)}
     if question_order:
         marks["max_aqord"] = F.max("__last").over(learner)
-    ranked = rank_share(folded.withColumns(marks), test, [score, user], dense=dense, nulls=nulls,
-                        known_keys=staged_rows(folded), weight="__rows", unique=True)
+    ranked = rank_share(folded.withColumns(marks), test, [score, user], dense=dense, nulls=nulls, weight="__rows", unique=True)
     return join_on_keys(rows, ranked.drop("__rows", "__last"), keys)
 
 
@@ -176,14 +169,21 @@ def latest_only(df: DataFrame, groups: Sequence[str], order: str) -> DataFrame:
 
 
 def after_offset(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
-    """ORDER BY … OFFSET n without passing all rows through one task.
+    """ORDER BY … OFFSET n: exactly the rows after the first n, whatever the number of ties.
 
-    `order` holds ascending sort expressions that no two rows share; the rows after the n-th are those with a
-    greater key. The sort of the result is the caller's.
+    Rows are counted per key and the counts summed over ordered buckets, so no task sees all rows. Of rows that tie at the
+    bound, those with the smaller hash count as first. `order` holds ascending sort expressions, nulls first; the sort of
+    the result is the caller's.
     """
     if n <= 0:
         return df
-    key = F.struct(*[c.alias(f"p{i}") for i, c in enumerate(order)])
-    head = df.select(key.alias("k")).orderBy("k").limit(n)
-    bound = head.agg(F.max("k").alias("k"), F.count(F.lit(1)).alias("n"))
-    return df.where((key > bound.select("k").scalar()) & (bound.select("n").scalar() == F.lit(n)))
+    keys = [f"__k{i}" for i in range(len(order))]
+    keyed = df.withColumns(dict(zip(keys, order, strict=True)))
+    counts = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cnt")).withColumn("__all", F.lit(1))
+    ranked = rank_share(counts, ["__all"], keys, rank="__rank", share=None, nulls="first", weight="__cnt", unique=True)
+    # rows of a key that still belong to the first n
+    before = ranked.select(*keys, "__cnt", F.greatest(F.lit(n) - F.col("__rank") + 1, F.lit(0)).alias("__skip")).where("__skip < __cnt")
+    kept = join_on_keys(keyed, before, keys)
+    split = kept.where("__skip > 0").withColumn("__row", F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64(*df.columns))))
+    whole = kept.where("__skip = 0").select(*df.columns)
+    return whole.unionByName(split.where("__row > __skip").select(*df.columns))

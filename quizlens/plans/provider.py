@@ -20,7 +20,7 @@ from quizlens.operators.frames import join_on_keys
 from quizlens.operators.marts import mart_heat, mart_str, quartile_pairs
 from quizlens.operators.ranking import latest_only, rank_share, strong, sum_where, weak
 from quizlens.operators.reliability import user_fold, with_question_variance
-from quizlens.sinks.stage import stage, staged_rows
+from quizlens.sinks.stage import stage
 
 Tables = Mapping[str, DataFrame]
 
@@ -173,7 +173,7 @@ def user_range_q(struc: DataFrame, attempts: DataFrame) -> DataFrame:
     rows, learner = answers_on_structure(struc, attempts), [*TEST, "user_ext_id"]
     marks = rows.groupBy(*learner).agg(F.count(F.lit(1)).alias("k_q"), F.max("max_aqord").alias("max_aqord"))
     learners = stage(marks.join(learner_totals(attempts), learner), "learners")
-    ranked = rank_share(learners, ["item_id"], ["resp_sum", "user_ext_id"], known_keys=staged_rows(learners),
+    ranked = rank_share(learners, ["item_id"], ["resp_sum", "user_ext_id"],
                         weight="k_q")
     return rows.drop("max_aqord").join(ranked, learner)
 
@@ -303,8 +303,7 @@ def time_ranking(t: Tables) -> DataFrame:
     )
     # a missing duration comes first: the default of a descending sort in the source dialect
     rows = stage(rows.withColumn("__has", F.col("time_dlt").isNotNull()), "timed")
-    ranked = rank_share(rows, ["item_id"], ["resp_sum", "__has", "__longer", "user_ext_id"],
-                        known_keys=staged_rows(rows))
+    ranked = rank_share(rows, ["item_id"], ["resp_sum", "__has", "__longer", "user_ext_id"])
     return ranked.select("course_id", "item_id", "assessment_ext_id", "user_ext_id", "resp_sum", "time_dlt", "rnk",
                          "cd", "question_ext_id", "response_score")
 
@@ -333,8 +332,7 @@ def user_structure_report(t: Tables) -> DataFrame:
                        ["course_id", "assessment_ext_id"], formula="legacy", count_as="k")
     folded = stage(folded.withColumns({"__has": F.col("time_dlt").isNotNull(), "__longer": -F.col("time_dlt")}),
                    "timed-users")
-    ranked = rank_share(folded, ["item_id"], ["resp_sum", "__has", "__longer", "user_ext_id"],
-                        known_keys=staged_rows(folded))
+    ranked = rank_share(folded, ["item_id"], ["resp_sum", "__has", "__longer", "user_ext_id"])
     struc = question_structure(t, per_assessment=False, assessments_only=True)
     return struc.join(ranked.drop("__has", "__longer"), ["course_id", "item_id", "assessment_ext_id"])
 

@@ -453,11 +453,10 @@ def last_step_options(t: Tables) -> DataFrame:
                        choice.alias("choice"), "option_val", "option_txt")
 
 
-def user_range_qo_old(ranged: DataFrame, options: DataFrame, limit: int | None = None) -> DataFrame:
-    """Ranked questions × their option rows; `limit` is the row cap of the source, off by default."""
-    rows = ranged.join(options.select("questionattemptid", "name", "stem", "choice", "option_val", "option_txt"),
+def user_range_qo_old(ranged: DataFrame, options: DataFrame) -> DataFrame:
+    """Ranked questions × their option rows."""
+    return ranged.join(options.select("questionattemptid", "name", "stem", "choice", "option_val", "option_txt"),
                        "questionattemptid")
-    return rows if limit is None else rows.orderBy("questionattemptid", "name", "stem").limit(limit)
 
 
 def mart_aud_old(options: DataFrame, t: Tables) -> DataFrame:

@@ -6,6 +6,7 @@ once, the later plans are short, column pruning works, and a lost executor costs
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,9 +16,14 @@ SHARED_DIR = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see. Only where the session names none (local tests) a temporary one is set."""
-    base = spark.conf.get(SHARED_DIR, None)
+    """The folder all executors see: the session's spark.checkpoint.dir, or the context's checkpoint folder.
+
+    Where neither is named a temporary folder is set, but only under a local master, where all tasks share the machine.
+    """
+    base = spark.conf.get(SHARED_DIR, None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError(f"set {SHARED_DIR} to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="quizlens-")
         spark.conf.set(SHARED_DIR, base)
     return base.rstrip("/")
@@ -38,7 +44,3 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
-
-def staged_rows(df: DataFrame) -> int:
-    """Rows of a staged DataFrame, from the Parquet footers."""
-    return df.count()

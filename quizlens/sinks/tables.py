@@ -181,7 +181,7 @@ class RunReport:
             self.steps.append((step, int(seen.get["n"]), time.monotonic() - start, None))
             return True
         except Exception as error:  # noqa: BLE001 - reported
-            self.steps.append((step, None, time.monotonic() - start, f"{type(error).__name__}: {error}"[:500]))
+            self.steps.append((step, None, time.monotonic() - start, f"{type(error).__name__}: {error}"))
             return False
 
     def reject(self, step: str, errors: DataFrame) -> None:

@@ -7,7 +7,7 @@ from quizlens.operators.attempts import first_n_per_group
 from quizlens.operators.frames import counted, with_group_stats
 from quizlens.operators.ranking import after_offset, is_last_row, latest_only, rank_share, strong, sum_where, weak
 from quizlens.operators.reliability import user_fold, with_question_variance
-from quizlens.sinks.stage import stage, staged_rows
+from quizlens.sinks.stage import stage
 from suite.registry import query
 
 
@@ -375,7 +375,7 @@ def weak_strong_pairs(t):
     """P11, A7."""
     rows = stage(with_group_stats(t["answers"], ["item_id", "user_id"], resp_sum=F.sum("score"))
                  .select("item_id", "question_id", "user_id", "score", "resp_sum"))
-    ranked = rank_share(rows, ["item_id"], ["resp_sum", "user_id"], known_keys=staged_rows(rows))
+    ranked = rank_share(rows, ["item_id"], ["resp_sum", "user_id"])
     return ranked.groupBy("item_id", "question_id").agg(
         sum_where(strong(), F.col("score")).alias("strong_num"), sum_where(strong()).alias("strong_denom"),
         sum_where(weak()).alias("weak_denom"), sum_where(weak(inclusive=True)).alias("weak_denom_inclusive"))

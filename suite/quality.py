@@ -6,19 +6,17 @@ from quizlens.operators import quality as Q
 from suite.registry import query, role
 
 # linked tables with gaps: customers without debt, orders above a price, all regions
-role("q_customer", "SELECT c_custkey AS customer_id FROM {customer} WHERE c_acctbal > 0")
-role("q_order_link", "SELECT o_custkey AS customer_id FROM {orders} WHERE o_totalprice > 450000")
+role("q_customer", "SELECT c_custkey AS customer_id, c_nationkey AS nation_id FROM {customer} WHERE c_acctbal > 0")
+role("q_order_link", "SELECT o_custkey AS customer_id, o_custkey % 40 AS nation_id FROM {orders} WHERE o_totalprice > 450000")
 role("q_nation", "SELECT n_nationkey AS nation_id FROM {nation}")
 role("q_supplier_link", "SELECT s_nationkey AS nation_id FROM {supplier}")
 RULES = [Q.ReferenceRule("q_customer", "customer_id", "q_order_link"),
+         Q.ReferenceRule("q_customer", "nation_id", "q_order_link"),
          Q.ReferenceRule("q_nation", "nation_id", "q_supplier_link")]
-GAPS = """
-SELECT 'q_customer' AS name, 'q_order_link' AS foreign_table, CAST(customer_id AS VARCHAR) AS missed_id
-FROM {q_order_link} l WHERE NOT EXISTS (SELECT 1 FROM {q_customer} b WHERE b.customer_id = l.customer_id)
-UNION ALL
-SELECT 'q_nation' AS name, 'q_supplier_link' AS foreign_table, CAST(nation_id AS VARCHAR) AS missed_id
-FROM {q_supplier_link} l WHERE NOT EXISTS (SELECT 1 FROM {q_nation} b WHERE b.nation_id = l.nation_id)
-"""
+# one branch per rule, ids as numbers
+GAPS = "\nUNION ALL\n".join(
+    f"SELECT '{r.base}' AS name, '{r.field}' AS field, '{r.linked}' AS foreign_table, {r.field} AS missed "
+    f"FROM {{{r.linked}}} WHERE {r.field} NOT IN (SELECT {r.field} FROM {{{r.base}}})" for r in RULES)
 role("q_gaps", GAPS)
 
 
@@ -26,17 +24,19 @@ def linked(t):
     return {n: t[n] for n in ("q_customer", "q_order_link", "q_nation", "q_supplier_link")}
 
 
-@query("quality_missing_rows", "SELECT * FROM {q_gaps}")
+@query("quality_missing_rows", "SELECT name, field, foreign_table, CAST(missed AS VARCHAR) AS missed_id FROM {q_gaps}")
 def quality_missing_rows(t):
     """Q1, one row per gap."""
     return Q.missing_rows(linked(t), RULES)
 
 
-@query("quality_missing_references", """
-WITH rules AS (SELECT 'q_customer' AS name, 'q_order_link' AS foreign_table UNION ALL SELECT 'q_nation', 'q_supplier_link')
-SELECT r.name, r.foreign_table, coalesce(string_agg(g.missed_id, ',' ORDER BY g.missed_id), '') AS missed_rows
-FROM rules r LEFT JOIN {q_gaps} g ON g.name = r.name AND g.foreign_table = r.foreign_table
-GROUP BY r.name, r.foreign_table
+HEADS = " UNION ALL ".join(f"SELECT '{r.base}' AS name, '{r.field}' AS field, '{r.linked}' AS foreign_table" for r in RULES)
+
+
+@query("quality_missing_references", f"""
+WITH rules AS ({HEADS})
+SELECT name, field, foreign_table, coalesce(string_agg(CAST(missed AS VARCHAR), ',' ORDER BY missed), '') AS missed_rows
+FROM rules LEFT JOIN {{q_gaps}} USING (name, field, foreign_table) GROUP BY name, field, foreign_table
 """)
 def quality_missing_references(t):
     """The list per rule."""

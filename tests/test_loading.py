@@ -53,6 +53,26 @@ def test_stage_uses_the_shared_folder(spark):
     assert all(shared_dir(spark) in f for f in staged.inputFiles())
 
 
+def test_shared_folder_must_be_named_on_a_cluster(monkeypatch):
+    class Context:
+        master = "spark://host:7077"
+        folder = None
+
+        def getCheckpointDir(self):
+            return self.folder
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError):
+        shared_dir(Session())
+    Session.sparkContext.folder = "hdfs:///checkpoints/"
+    assert shared_dir(Session()) == "hdfs:///checkpoints"
+    Session.conf = {"spark.checkpoint.dir": "hdfs:///shared"}
+    assert shared_dir(Session()) == "hdfs:///shared"
+
+
 def export(folder, name, slug, users, escape=""):
     """A small course: one graded item with a two-question test, and a session."""
     answers = [(u, q, s) for u, scores in users.items() for q, s in zip(("q1", "q2"), scores)]
