@@ -189,7 +189,8 @@ def score(docs: DataFrame, training: Column, text: str = "text", id: str = "doc_
     # each of these has a share of 1 / FREQUENT or more, so there are at most FREQUENT
     often = vocabulary.where(F.col("n") * FREQUENT >= max(total, 1)).orderBy("w").toPandas()
     begins = given.where("train").count()
-    shards = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    tasks = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 2)
+    shards = 4 * tasks  # a task holds one shard at a time
     known = (often["w"].to_numpy(np.int64).view(np.uint64), often["n"].to_numpy(np.int64))
     order = np.argsort(known[0])
     frequent = spark.sparkContext.broadcast((known[0][order], known[1][order]))
@@ -201,20 +202,23 @@ def score(docs: DataFrame, training: Column, text: str = "text", id: str = "doc_
                 yield _dealt(b.slice(lo, 1 << 14), hot, shards)
 
     packed = "shard INT, rows BINARY, word BINARY, pairs BINARY, low BINARY, high BINARY, texts BINARY, text BINARY, times BINARY"
-    dealt = given.select("__text", "train", "row").mapInArrow(deal, packed).repartition(shards, "shard").sortWithinPartitions("shard")
+    dealt = given.select("__text", "train", "row").mapInArrow(deal, packed).repartition(tasks, "shard").sortWithinPartitions("shard")
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, held = None, []
+        shard, held, sums = None, [], []
         for b in batches:
             for r in range(b.num_rows):
                 values = [b.column(c)[r].as_py() for c in range(b.num_columns)]
                 if values[0] != shard and held:
-                    yield _solved(held, frequent.value, total, distinct, mass)
-                    held = []
+                    sums.append(_solved(held, frequent.value, total, distinct, mass))
+                    if sum(len(x[0]) for x in sums) > TEXTS:
+                        yield _added(sums)
                 shard = values[0]
                 held.append(values[1:])
         if held:
-            yield _solved(held, frequent.value, total, distinct, mass)
+            sums.append(_solved(held, frequent.value, total, distinct, mass))
+        if sums:
+            yield _added(sums)
 
     sums = dealt.mapInArrow(solve, "row BIGINT, n BIGINT, known BIGINT, base DOUBLE, score DOUBLE").groupBy("row").agg(*[F.sum(c).alias(c) for c in ("n", "known", "base", "score")])
     # a row that stands several times has been added up as often
@@ -261,23 +265,33 @@ def _dealt(b: pa.RecordBatch, hot: np.ndarray, shards: int) -> pa.RecordBatch:
                                       ["shard", "rows", "word", "pairs", "low", "high", "texts", "text", "times"])
 
 
-def _solved(held: list[list[bytes]], frequent, total: int, distinct: int, mass: float) -> pa.RecordBatch:
-    """Builds a shard's trie and scores its tokens: sums per text."""
+def _added(sums: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    """The sums of several shards as one row per text; empties the list."""
+    row, at = np.unique(np.concatenate([x[0] for x in sums]), return_inverse=True)
+    columns = [np.bincount(at, np.concatenate([x[k] for x in sums]), len(row)) for k in range(1, 5)]
+    sums.clear()
+    return pa.RecordBatch.from_arrays([pa.array(row), *(pa.array(c.astype(np.int64)) for c in columns[:2]), *map(pa.array, columns[2:])], ["row", "n", "known", "base", "score"])
+
+
+def _solved(held: list[list[bytes]], frequent, total: int, distinct: int, mass: float) -> tuple[np.ndarray, ...]:
+    """Builds a shard's trie and scores its tokens: texts, and their sums of tokens, known tokens, base and score. Empties `held`."""
     kinds = (np.int64, np.uint64, np.uint32, np.uint32, np.uint8, np.uint16, np.uint16, np.uint32)
-    parts = [[np.frombuffer(h[k], kind) for h in held] for k, kind in enumerate(kinds)]
-    offsets = np.concatenate([[0], np.cumsum([len(x) for x in parts[0]])])[:-1]
-    code = np.concatenate([(c >> np.uint16(1)).astype(np.int64) + s for c, s in zip(parts[6], offsets, strict=True)])
-    train = np.concatenate(parts[6]) & np.uint16(1)
-    rows, word, pairs, low, high, texts, _, times = (np.concatenate(x) for x in parts)
-    del parts
-    times = times.astype(np.int64)
-    starts = np.concatenate([[0], np.cumsum(texts.astype(np.int64))])[:-1]
-    learnt = np.add.reduceat(np.where(train == 1, times, 0), starts)
+    count_of = [len(h[0]) // 8 for h in held]
+    first_text = np.concatenate([[0], np.cumsum(count_of)])[:-1].astype(np.int32)
+    entries = [len(h[6]) // 2 for h in held]
+    rows, word, pairs, low, high, texts, text, times = (np.frombuffer(b"".join(h[k] for h in held), kind) for k, kind in enumerate(kinds))
+    held.clear()
+    code = (text >> np.uint16(1)).astype(np.int32) + np.repeat(first_text, entries)
+    starts = np.concatenate([[0], np.cumsum(texts, dtype=np.int64)])[:-1]
+    learnt = np.add.reduceat(np.where(text & np.uint16(1), times, np.uint32(0)), starts, dtype=np.int64)
+    del text, starts
     words, place = np.unique(word, return_inverse=True)
-    word_of = np.repeat(place, pairs)
-    context = low.astype(np.uint64) | (high.astype(np.uint64) << np.uint64(32))
-    key = (word_of.astype(np.uint64) << np.uint64(CONTEXT_BITS)) | context
+    mask = np.uint64((1 << CONTEXT_BITS) - 1)
+    key = (np.repeat(place, pairs).astype(np.uint64) << np.uint64(CONTEXT_BITS)) | low | (high.astype(np.uint64) << np.uint64(32))
+    del low, high, word, place
     unique, pair_of = np.unique(key, return_inverse=True)
+    pair_of = pair_of.astype(np.int32)
+    del key
     count = np.bincount(pair_of, learnt, len(unique)).astype(np.int64)
     owner = (unique >> np.uint64(CONTEXT_BITS)).astype(np.int64)
     of_word = np.bincount(owner, count, len(words)).astype(np.int64)
@@ -288,24 +302,19 @@ def _solved(held: list[list[bytes]], frequent, total: int, distinct: int, mass:
     unigram = np.log10((of_word + ADDED) / (total + ADDED * (distinct + 1)))
     in_trie = count > 0
     prior = mass * 10.0**unigram
-    trie = Trie(words, np.log10(prior), owner[in_trie], unique[in_trie] & np.uint64((1 << CONTEXT_BITS) - 1),
-                np.log10(count[in_trie] + prior[owner[in_trie]]) - SCALE)
+    trie = Trie(words, np.log10(prior), owner[in_trie], unique[in_trie] & mask, np.log10(count[in_trie] + prior[owner[in_trie]]) - SCALE)
+    del count
     with tempfile.TemporaryDirectory() as folder:
-        trie = trie.mapped(folder)
-        value = trie.log10p(owner, unique & np.uint64((1 << CONTEXT_BITS) - 1))
+        value = trie.mapped(folder).log10p(owner, unique & mask)
+    del unique
     value[in_trie] += SCALE
-    entry_pair = np.repeat(pair_of, texts)
-    entry_word = owner[entry_pair]
-    after = np.where(words == END, 0.0, -np.log10(of_word + mass))  # what the word adds as the context of the next token
-    n = len(rows)
-    base = np.bincount(code, times * unigram[entry_word], n)
-    full = np.bincount(code, times * (value[entry_pair] + after[entry_word]), n)
-    seen = np.bincount(code, np.where(of_word[entry_word] > 0, times, 0), n).astype(np.int64)
-    size = np.bincount(code, times, n).astype(np.int64)
-    ids, text = np.unique(rows, return_inverse=True)
-    sums = [np.bincount(text, x, len(ids)) for x in (size, seen, base, full)]
-    return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(sums[0].astype(np.int64)), pa.array(sums[1].astype(np.int64)), pa.array(sums[2]), pa.array(sums[3])],
-                                      ["row", "n", "known", "base", "score"])
+    value += np.where(words == END, 0.0, -np.log10(of_word + mass))[owner]  # what the word adds as the context of the next token
+    entry = np.repeat(pair_of, texts)
+    ids, same = np.unique(rows, return_inverse=True)
+    owner_text = same.astype(np.int32)[code]
+    add = lambda per_pair: np.bincount(owner_text, per_pair[entry] * times, len(ids))
+    return ids, add(np.ones(len(owner))), add((of_word > 0).astype(float)[owner]), add(unigram[owner]), add(value)
 
 
+TEXTS = 1 << 20  # sums of so many texts are held before they leave a task
 SCALE = 12.0  # log10 of counts is shifted by this to be negative before it is quantised
