@@ -1,8 +1,8 @@
 """Toxicity classifier with counterfactual regularisation.
 
 A logistic regression over the presence of words and word beginnings is fitted on a bounded sample of labelled rows. For every sampled text that names a
-group of people a counterfactual twin is made, in which each identity term is swapped for another of its group of terms; the loss adds
-`fairness * (logit(text) - logit(twin))^2`, so that naming a group, or which one, moves the score as little as possible and neutral
+group of people two counterfactual twins are made, in which each identity term is swapped for another of its group of terms, or for
+nothing; the loss adds `fairness * (logit(text) - logit(twin))^2`, so that naming a group, or which one, moves the score as little as possible and neutral
 mentions are not taken for insults. Scores need only the words of the text, never labels, ids, languages or sources.
 
 Sampling: at most `sample_per_class` labelled training rows per class, those with the smallest hash of their id. This bound is the only
@@ -47,6 +47,11 @@ def features(words: set[bytes]) -> set[bytes]:
     return words | {b"^" + w[:n] for w in words for n in (4, 5, 6) if len(w) > n}
 
 
+def unpacked(words: bytes) -> set[bytes]:
+    """The features of words joined by spaces."""
+    return features(set(words.split()))
+
+
 @dataclass
 class Model:
     """Intercept and word weights; at most `max_words` of them."""
@@ -77,8 +82,8 @@ def training_fold(doc_id: Column, folds: int = 5) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds != 0, F.lit(False))
 
 
-def sample(docs: DataFrame, labels: DataFrame, sample_per_class: int, groups=IDENTITY_TERMS) -> list[tuple[int, list[set[bytes]]]]:
-    """(label, [features, features of the twin]) of the sampled rows; its size is bounded by the parameter."""
+def sample(docs: DataFrame, labels: DataFrame, sample_per_class: int, groups=IDENTITY_TERMS) -> list[tuple[int, list[bytes]]]:
+    """(label, [words, words of the twin]) of the sampled rows, words joined by spaces; its size is bounded by the parameter."""
     usable = labels.where(training_fold(F.col("doc_id")) & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     parts = [usable.where(test).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_per_class) for test in ("toxic = 1", "toxic <> 1")]
     # at most 2 * sample_per_class ids: a bounded broadcast
@@ -94,12 +99,15 @@ def sample(docs: DataFrame, labels: DataFrame, sample_per_class: int, groups=IDE
                  pa.array([None if s is None else b" ".join(sorted(s)) for s in twins], pa.binary())], ["toxic", "words", "twin"])
 
     rows = texts.select("__toxic", "__text").mapInArrow(words, "toxic INT, words BINARY, twin BINARY").collect()
-    return [(int(r.toxic == 1), [features(set(bytes(x).split())) for x in (r.words, r.twin) if x is not None]) for r in rows]
+    return [(int(r.toxic == 1), [bytes(x) for x in (r.words, r.twin) if x is not None]) for r in rows]
 
 
-def fit(rows: list[tuple[int, list[set[bytes]]]], max_words: int = 4096, strength: float = 3.0, ridge: float = 1e-5,
+def fit(rows: list[tuple[int, list[bytes]]], max_words: int = 4096, strength: float = 3.0, ridge: float = 1e-5,
         fairness: float = 1.0, steps: int = 800) -> Model:
-    """Fits the model on sampled rows: word selection by association, then gradient descent (Adam) on the regularised loss."""
+    """Fits the model on sampled rows: word selection by association, then gradient descent (Adam) on the regularised loss.
+
+    Feature sets are made one at a time; only the packed words and the chosen entries are held.
+    """
     n1 = sum(y for y, _ in rows)
     n0 = len(rows) - n1
     if not n1 or not n0:
@@ -107,7 +115,7 @@ def fit(rows: list[tuple[int, list[set[bytes]]]], max_words: int = 4096, strengt
         return Model(math.log(p / (1 - p)))
     counts: dict[bytes, list[int]] = {}
     for y, sets in rows:
-        for w in sets[0]:
+        for w in unpacked(sets[0]):
             counts.setdefault(w, [0, 0])[y] += 1
     ranked = []
     for w, (c0, c1) in counts.items():
@@ -116,17 +124,18 @@ def fit(rows: list[tuple[int, list[set[bytes]]]], max_words: int = 4096, strengt
         if z >= strength and p1 > 4 * p0:
             ranked.append((-z, w))
     chosen = [w for _, w in sorted(ranked)[:max_words]]
-    named = sorted({w for _, sets in rows for s in sets[1:] for w in s ^ sets[0]} - set(chosen))  # identity terms in use
+    named = sorted({w for _, sets in rows for s in sets[1:] for w in unpacked(s) ^ unpacked(sets[0])} - set(chosen))  # identity terms in use
     index = {w: i for i, w in enumerate([*chosen, *named])}
 
-    def matrix(sets: list[set[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-        pairs = [(r, index[w]) for r, s in enumerate(sets) for w in s & index.keys()]
-        return (np.array([p[0] for p in pairs], np.int64), np.array([p[1] for p in pairs], np.int64))
+    def matrix(sets: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        entries = [np.array([index[w] for w in unpacked(s) if w in index], np.int64) for s in sets]
+        return np.repeat(np.arange(len(sets)), [len(e) for e in entries]), np.concatenate([np.zeros(0, np.int64), *entries])
 
     y = np.array([y for y, _ in rows], float)
     balance = np.where(y == 1, 0.5 / n1, 0.5 / n0)  # both classes weigh the same
     r, c = matrix([s[0] for _, s in rows])
-    twins = [(s[0], s[1]) for _, s in rows if len(s) > 1]
+    # each against its twin and against itself without the swapped terms: with the twin alone all terms of a group may rise together
+    twins = [(s[0], t) for _, s in rows if len(s) > 1 for t in (s[1], b" ".join(set(s[0].split()) & set(s[1].split())))]
     (ra, ca), (rb, cb) = matrix([a for a, _ in twins]), matrix([b for _, b in twins])
     w, m, v = (np.zeros(len(index) + 1) for _ in range(3))
     for step in range(1, steps + 1):
