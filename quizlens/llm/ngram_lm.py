@@ -12,7 +12,9 @@ stands before it, and a part that needs only the count of v, so everything about
 3. Each shard builds the trie of its words: level 1 holds the words and, as an Elias-Fano sequence, the pointers to their contexts in level
    2; level 2 holds the contexts, monotone by adding the word's place, as another Elias-Fano sequence, and their smoothed probabilities,
    quantised to 16 bits. Both are memory-mapped. A token is looked up by successor search among its word's contexts; one without a
-   context in the trie gets the smoothed unigram probability. Sums per text leave the shard, and are added up.
+   context in the trie gets the smoothed unigram probability.
+4. Sums per text go back packed, a row per piece and task, as the tokens came. A piece's sums meet in one place and are added up there; a row per
+   text leaves it.
 
 The tries grow with the corpus and stay where their words are; none is sent to the driver or to another task.
 
@@ -32,10 +34,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quizlens.llm.text import Hasher, lowered, pieces, text_bytes, word_bounds
+from quizlens.llm.text import Hasher, lowered, mix, pieces, text_bytes, word_bounds
 from quizlens.sinks.stage import stage
 
-CHUNK = 2 << 20
+CHUNK = (2 << 20) - 64  # the hasher's tables hold a power of two of places
 ADDED = 0.1  # fixed value: added to every count of the unigram model
 FREQUENT = 4096
 END, BEGIN = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC949D7C7509E6557)
@@ -201,7 +203,7 @@ def score(docs: DataFrame, training: Column, text: str = "text", id: str = "doc_
             for lo in range(0, b.num_rows, 1 << 14):
                 yield _dealt(b.slice(lo, 1 << 14), hot, shards)
 
-    packed = "shard INT, rows BINARY, word BINARY, pairs BINARY, low BINARY, high BINARY, texts BINARY, text BINARY, times BINARY"
+    packed = "shard INT, piece BIGINT, rows BINARY, word BINARY, pairs BINARY, low BINARY, high BINARY, texts BINARY, text BINARY, times BINARY"
     dealt = given.select("__text", "train", "row").mapInArrow(deal, packed).repartition(tasks, "shard").sortWithinPartitions("shard")
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,15 +214,19 @@ def score(docs: DataFrame, training: Column, text: str = "text", id: str = "doc_
                 if values[0] != shard and held:
                     sums.append(_solved(held, frequent.value, total, distinct, mass))
                     if sum(len(x[0]) for x in sums) > TEXTS:
-                        yield _added(sums)
+                        yield _packed(_added(sums))
                 shard = values[0]
                 held.append(values[1:])
         if held:
             sums.append(_solved(held, frequent.value, total, distinct, mass))
         if sums:
-            yield _added(sums)
+            yield _packed(_added(sums))
 
-    sums = dealt.mapInArrow(solve, "row BIGINT, n BIGINT, known BIGINT, base DOUBLE, score DOUBLE").groupBy("row").agg(*[F.sum(c).alias(c) for c in ("n", "known", "base", "score")])
+    # pieces are only a place to meet: sums per row are added once more, so it does not matter which piece a row was in
+    back = dealt.mapInArrow(solve, "piece BIGINT, row BINARY, n BINARY, known BINARY, base BINARY, score BINARY")
+    back = back.repartition(2 * tasks, "piece").sortWithinPartitions("piece")
+    summed = back.mapInArrow(_gathered, "row BIGINT, n BIGINT, known BIGINT, base DOUBLE, score DOUBLE")
+    sums = summed.groupBy("row").agg(*[F.sum(c).alias(c) for c in ("n", "known", "base", "score")])
     # a row that stands several times has been added up as often
     copies = given.select("id", "row")
     times = copies.groupBy("row").agg(F.count(F.lit(1)).alias("copies"))
@@ -235,6 +241,7 @@ def _dealt(b: pa.RecordBatch, hot: np.ndarray, shards: int) -> pa.RecordBatch:
     """The tokens of a piece by shard: words, per word its contexts, per context the texts and how often."""
     word, before, text = tokens(b)
     rows = b.column("row").to_numpy()
+    piece = int(mix(rows.astype(np.uint64)).sum().view(np.int64))
     train = b.column("train").to_numpy(zero_copy_only=False).astype(np.uint16)
     context = before & np.uint64((1 << CONTEXT_BITS) - 1)
     at = np.minimum(np.searchsorted(hot, word), max(len(hot) - 1, 0))
@@ -254,32 +261,60 @@ def _dealt(b: pa.RecordBatch, hot: np.ndarray, shards: int) -> pa.RecordBatch:
     pairs = np.diff(np.append(np.searchsorted(pair, first), len(pair))).astype(np.uint32)
     low, high = (context[pair] & np.uint64(0xFFFFFFFF)).astype(np.uint32), (context[pair] >> np.uint64(32)).astype(np.uint8)
     cuts = np.append(np.flatnonzero(new_shard), len(word))
-    out = [[] for _ in range(9)]
+    out = [[] for _ in range(10)]
     for s, e in zip(cuts[:-1], cuts[1:], strict=True):
         w, p, t = (slice(*np.searchsorted(x, (s, e))) for x in (first, pair, entry))
         used = np.unique(code[t] >> np.uint16(1))  # the texts that have a token here
         local = (np.searchsorted(used, code[t] >> np.uint16(1)).astype(np.uint16) << np.uint16(1)) | (code[t] & np.uint16(1))
-        for x, v in zip(out, (int(shard[s]), rows[used], word[first[w]], pairs[w], low[p], high[p], texts[p], local, times[t]), strict=True):
+        for x, v in zip(out, (int(shard[s]), piece, rows[used], word[first[w]], pairs[w], low[p], high[p], texts[p], local, times[t]), strict=True):
             x.append(v if isinstance(v, int) else v.tobytes())
-    return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *(pa.array(x, pa.binary()) for x in out[1:])],
-                                      ["shard", "rows", "word", "pairs", "low", "high", "texts", "text", "times"])
+    return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.int64()), *(pa.array(x, pa.binary()) for x in out[2:])],
+                                      ["shard", "piece", "rows", "word", "pairs", "low", "high", "texts", "text", "times"])
 
 
-def _added(sums: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-    """The sums of several shards as one row per text; empties the list."""
-    row, at = np.unique(np.concatenate([x[0] for x in sums]), return_inverse=True)
-    columns = [np.bincount(at, np.concatenate([x[k] for x in sums]), len(row)) for k in range(1, 5)]
+def _added(sums: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """One entry per piece and text, in this order, of (piece, row, n, known, base, score); empties the list."""
+    columns = [np.concatenate([x[k] for x in sums]) for k in range(6)]
     sums.clear()
-    return pa.RecordBatch.from_arrays([pa.array(row), *(pa.array(c.astype(np.int64)) for c in columns[:2]), *map(pa.array, columns[2:])], ["row", "n", "known", "base", "score"])
+    o = np.lexsort((columns[1], columns[0]))
+    piece, row = columns[0][o], columns[1][o]
+    at = np.flatnonzero(np.concatenate([[True], (piece[1:] != piece[:-1]) | (row[1:] != row[:-1])]))
+    return piece[at], row[at], *(np.add.reduceat(c[o], at) for c in columns[2:])
+
+
+def _packed(sums: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+    piece, *columns = sums
+    cuts = np.append(np.flatnonzero(np.concatenate([[True], piece[1:] != piece[:-1]])), len(piece))
+    out = [[np.ascontiguousarray(c[s:e], kind).tobytes() for s, e in zip(cuts[:-1], cuts[1:], strict=True)] for c, kind in zip(columns, SUMS, strict=True)]
+    return pa.RecordBatch.from_arrays([pa.array(piece[cuts[:-1]]), *(pa.array(x, pa.binary()) for x in out)], ["piece", "row", "n", "known", "base", "score"])
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per text of packed sums; batches come sorted by piece, one piece is held at a time."""
+    def texts(sums):
+        _, row, n, known, base, score = _added(sums)
+        return pa.RecordBatch.from_arrays([pa.array(row), *(pa.array(c.astype(np.int64)) for c in (n, known)), pa.array(base), pa.array(score)], ["row", "n", "known", "base", "score"])
+
+    last, held = None, []
+    for b in batches:
+        for piece, *packed in zip(*(b.column(c).to_pylist() for c in range(b.num_columns)), strict=True):
+            if piece != last and held:
+                yield texts(held)
+            last = piece
+            columns = [np.frombuffer(x, kind) for x, kind in zip(packed, SUMS, strict=True)]
+            held.append((np.full(len(columns[0]), piece), *columns))
+    if held:
+        yield texts(held)
 
 
 def _solved(held: list[list[bytes]], frequent, total: int, distinct: int, mass: float) -> tuple[np.ndarray, ...]:
-    """Builds a shard's trie and scores its tokens: texts, and their sums of tokens, known tokens, base and score. Empties `held`."""
+    """Builds a shard's trie and scores its tokens: pieces, texts, and their sums of tokens, known tokens, base and score. Empties `held`."""
     kinds = (np.int64, np.uint64, np.uint32, np.uint32, np.uint8, np.uint16, np.uint16, np.uint32)
-    count_of = [len(h[0]) // 8 for h in held]
+    count_of = [len(h[1]) // 8 for h in held]
+    piece = np.repeat([h[0] for h in held], count_of)
     first_text = np.concatenate([[0], np.cumsum(count_of)])[:-1].astype(np.int32)
-    entries = [len(h[6]) // 2 for h in held]
-    rows, word, pairs, low, high, texts, text, times = (np.frombuffer(b"".join(h[k] for h in held), kind) for k, kind in enumerate(kinds))
+    entries = [len(h[7]) // 2 for h in held]
+    rows, word, pairs, low, high, texts, text, times = (np.frombuffer(b"".join(h[k] for h in held), kind) for k, kind in enumerate(kinds, 1))
     held.clear()
     code = (text >> np.uint16(1)).astype(np.int32) + np.repeat(first_text, entries)
     starts = np.concatenate([[0], np.cumsum(texts, dtype=np.int64)])[:-1]
@@ -310,11 +345,10 @@ def _solved(held: list[list[bytes]], frequent, total: int, distinct: int, mass:
     value[in_trie] += SCALE
     value += np.where(words == END, 0.0, -np.log10(of_word + mass))[owner]  # what the word adds as the context of the next token
     entry = np.repeat(pair_of, texts)
-    ids, same = np.unique(rows, return_inverse=True)
-    owner_text = same.astype(np.int32)[code]
-    add = lambda per_pair: np.bincount(owner_text, per_pair[entry] * times, len(ids))
-    return ids, add(np.ones(len(owner))), add((of_word > 0).astype(float)[owner]), add(unigram[owner]), add(value)
+    add = lambda per_pair: np.bincount(code, per_pair[entry] * times, len(rows))
+    return piece, rows, add(np.ones(len(owner))), add((of_word > 0).astype(float)[owner]), add(unigram[owner]), add(value)
 
 
 TEXTS = 1 << 20  # sums of so many texts are held before they leave a task
+SUMS = (np.int64, np.uint32, np.uint32, np.float64, np.float64)  # packed sums: row, n, known, base, score
 SCALE = 12.0  # log10 of counts is shifted by this to be negative before it is quantised
