@@ -19,9 +19,3 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def rows(df, *columns):
-    """Rows as a sorted list of tuples."""
-    out = [tuple(r) for r in (df.select(*columns) if columns else df).collect()]
-    return sorted(out, key=repr)

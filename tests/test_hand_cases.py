@@ -1,7 +1,7 @@
 """Cases with answers worked out by hand: nulls, ties, single rows, fan-out."""
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from quizlens import functions as X

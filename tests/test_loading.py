@@ -4,7 +4,7 @@ import os
 import zipfile
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from quizlens.plans.export_load import Store, build_marts, load_exports

@@ -1,6 +1,6 @@
 """Option decoding of the quiz platform on a small invented attempt log."""
 
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from quizlens.plans import quiz as Z

@@ -7,7 +7,7 @@ import os
 import tarfile
 import zipfile
 
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from quizlens.operators import submissions as S
