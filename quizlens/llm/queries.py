@@ -7,16 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from quizlens.llm import jaccard, mixing, ngram_lm, packing, quality, secrets, substrings, topk, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 POLICY = "strict/2"
-QUERIES["pipeline"] = corpus_pipeline.run
-if corpus_pipeline.ORACLE_SQL is not None:
-    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
 
 
 def query(name: str, sql: str | None = None):
