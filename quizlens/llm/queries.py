@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quizlens.llm import jaccard, mixing, ngram_lm, packing, quality, secrets, substrings, topk, toxicity, urls
+from quizlens.llm import divergence, infill, jaccard, mixing, nbsvm, ngram_lm, packing, quality, secrets, substrings, topk, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -162,3 +162,61 @@ def op7_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     learn = ngram_lm.training_fold(F.col("doc_id"))
     scored = ngram_lm.score(docs, learn)
     return scored.select("doc_id", (~learn).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def _infill_sql() -> str:
+    h = [f"list_sum([CAST(strpos('0123456789abcdef', substr(d, {8 * k} + i, 1)) - 1 AS BIGINT) * CAST(pow(16, 8 - i) AS BIGINT) FOR i IN range(1, 9)])" for k in range(4)]
+    return f"""
+WITH t AS (SELECT doc_id, coalesce("text", '') AS x, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d FROM documents),
+h AS (SELECT doc_id, x, CAST(length(x) AS BIGINT) AS n, {", ".join(f"CAST({e} AS BIGINT) AS h{k + 1}" for k, e in enumerate(h))} FROM t),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+             CASE WHEN n = 0 OR contains(x, '<P>') OR contains(x, '<S>') OR contains(x, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, substr(x, 1, a) AS pre, substr(x, a + 1, b - a) AS mid, substr(x, b + 1) AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN x WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(x) AS restored_sha256
+FROM p
+"""
+
+
+@query("op11_infill", _infill_sql())
+def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-middle form of every document, with the hashes of its output and of the text restored from it."""
+    return infill.digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+_DIVERGENCE_SQL = r"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce("source", '') AS source,
+             translate(coalesce("text", ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents),
+o AS MATERIALIZED (SELECT id, lang, source, unnest(regexp_extract_all(x, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS MATERIALIZED (SELECT lang, term, count(*) AS n FROM o GROUP BY ALL HAVING count(DISTINCT id) >= 3),
+gt AS MATERIALIZED (SELECT lang, source, term, count(*) AS n FROM o SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+l AS (SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang),
+g AS MATERIALIZED (SELECT lang, source, coalesce(any_value(l.v), 0) AS v, coalesce(sum(gt.n), 0) AS n
+      FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN gt USING (lang, source) LEFT JOIN l USING (lang) GROUP BY lang, source),
+p AS MATERIALIZED (SELECT g.lang, g.source, k.term, coalesce(gt.n, 0) AS n, 1 + CAST(1000000000 * CAST(coalesce(gt.n, 0) + 1 AS HUGEINT) // (g.n + g.v) AS HUGEINT) AS p
+      FROM g JOIN kept k USING (lang) LEFT JOIN gt ON gt.lang = g.lang AND gt.source = g.source AND gt.term = k.term),
+pair AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.f, 0) AS f
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN (SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // y.p) AS f FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term GROUP BY ALL) s
+      ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+term AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // q AS f
+      FROM (SELECT p.lang, p.source, p.term, p.p, 1 + CAST(1000000000 * CAST(k.n + 1 AS HUGEINT) // (l.n + l.v) AS HUGEINT) AS q
+            FROM p JOIN kept k USING (lang, term) JOIN l USING (lang) WHERE p.n > 0) WHERE p > q),
+r AS (SELECT lang, source, part, item, f, row_number() OVER (PARTITION BY lang, source, part ORDER BY f DESC, item) AS rk FROM (SELECT * FROM pair UNION ALL SELECT * FROM term))
+SELECT lang, source, part, item, CAST(f AS BIGINT) AS "value", CAST(rk AS INTEGER) AS "rank" FROM r WHERE part = 'pair' OR rk <= 200
+"""
+
+
+@query("op12_divergence", _DIVERGENCE_SQL)
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of every source of a language from each other one, and the terms that it overuses."""
+    return divergence.audit(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
+@query("op13_quality_model")
+def op13_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, from labels of the training fold only."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = nbsvm.train(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    return nbsvm.score(docs, model).select("doc_id", (~nbsvm.training_fold(F.col("doc_id"))).alias("held_out"), "score", "predicted")
