@@ -19,7 +19,9 @@ itself. An empty table gives an empty result. Other columns are carried along; c
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
@@ -43,6 +45,7 @@ CODE_WORDS = ("access_key access_token api_key apikey auth authorization bearer
               "self session static str string token true url user username val value var void")
 CANDIDATE, REACH, AROUND, DICTIONARY, NOVEL = 16, 64, 200, 16384, 0.5
 _RUN = re.compile(r"[A-Za-z0-9+/_=.~-]{%d,}" % CANDIDATE)
+_DIGIT, _LETTER = re.compile("[0-9]"), re.compile("[A-Za-z]")
 
 _SPAN = "STRUCT<kind: INT, start: INT, end: INT, value: INT>"
 _FOUND = pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("value", pa.int32())])
@@ -60,16 +63,28 @@ def base_spans(text: str) -> list[tuple[int, int, int, int]]:
 
 
 def candidates(text: str, found: list[tuple[int, int, int, int]]) -> list[tuple[int, int]]:
-    """Strings in a sensitive context that no span of a fixed kind covers."""
-    out, seen = [], -1
+    """Strings in a sensitive context that no span of a fixed kind covers; in time linear in the text."""
+    out, seen = [], 0
+    runs = _RUN.finditer(text)
+    run = next(runs, None)
+    starts = [s for s, *_ in found]
+    reach = list(accumulate((e for _, _, e, _ in found), max))  # furthest end among the spans up to here
     for m in SENSITIVE.finditer(text):
-        at = m.end()
-        while (r := _RUN.search(text, max(at, seen))) and r.start() <= m.end() + REACH:
-            at = seen = r.end()
-            v = r.group()
-            mixed = any(c.isdigit() for c in v) and any(c.isalpha() for c in v)
-            if mixed and not any(s <= r.start() and r.end() <= e for s, _, e, _ in found):
-                out.append((r.start(), r.end()))
+        while run is not None:
+            start = max(run.start(), m.end(), seen)
+            if run.end() - start < CANDIDATE:  # behind the word, or too little of it left
+                run = next(runs, None)
+                continue
+            if start > m.end() + REACH:
+                break
+            seen = run.end()
+            v = text[start:seen]
+            covered = bisect_right(starts, start)
+            if _DIGIT.search(v) and _LETTER.search(v) and not (covered and reach[covered - 1] >= seen):
+                out.append((start, seen))
+            run = next(runs, None)
+        if run is None:
+            break
     return out
 
 
