@@ -8,8 +8,8 @@ mentions are not taken for insults. Scores need only the words of the text, neve
 Sampling: at most `sample_per_class` labelled training rows per class, those with the smallest hash of their id. This bound is the only
 one; every text is scored, whole. Selected words: at most `max_words`, by the strength of their association in the sample.
 
-Defined results: null and empty texts have no words and get the score of the intercept. Without training rows of both classes the score
-is the smoothed share of toxic rows (0.5 without any). Labels that are null are ignored; of several labels of one id the largest
+Defined results: null and empty texts have no words and get the score of the intercept. Without training rows of both classes, or where no word speaks
+for either class strongly enough, the model has no weights and every score is the smoothed share of toxic rows (0.5 without any rows). Labels that are null are ignored; of several labels of one id the largest
 counts. Repeated rows are scored each for itself; an empty table gives an empty result. Other columns are carried along; columns
 named as the output's are replaced.
 """
@@ -110,9 +110,10 @@ def fit(rows: list[tuple[int, list[bytes]]], max_words: int = 4096, strength: fl
     """
     n1 = sum(y for y, _ in rows)
     n0 = len(rows) - n1
+    share = (n1 + 0.5) / (len(rows) + 1)
+    blind = Model(math.log(share / (1 - share)))
     if not n1 or not n0:
-        p = (n1 + 0.5) / (len(rows) + 1)
-        return Model(math.log(p / (1 - p)))
+        return blind
     counts: dict[bytes, list[int]] = {}
     for y, sets in rows:
         for w in unpacked(sets[0]):
@@ -124,6 +125,8 @@ def fit(rows: list[tuple[int, list[bytes]]], max_words: int = 4096, strength: fl
         if z >= strength and p1 > 4 * p0:
             ranked.append((-z, w))
     chosen = [w for _, w in sorted(ranked)[:max_words]]
+    if not chosen:  # both classes weigh the same below: without words all scores would be 0.5, and all texts toxic
+        return blind
     named = sorted({w for _, sets in rows for s in sets[1:] for w in unpacked(s) ^ unpacked(sets[0])} - set(chosen))  # identity terms in use
     index = {w: i for i, w in enumerate([*chosen, *named])}
 
