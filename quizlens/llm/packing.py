@@ -68,6 +68,11 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("bigint")
 
 
+def copies(text: Column) -> Column:
+    """Cluster of exact copies: a hash of the text, null for texts without words, which conflict with nothing."""
+    return F.when(word_count(text) > 0, F.xxhash64(text))
+
+
 def pack(docs: DataFrame, size: Column, cluster: Column, capacity: int = 2048, per_source: int = 2, shard_pieces: int = 4096,
          id: str = "doc_id", source: str = "source") -> DataFrame:
     """One row per piece: id, piece, start and size in tokens, bin_id, place in the bin."""

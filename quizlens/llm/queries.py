@@ -100,7 +100,7 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in bins of 2048 words; exact copies are kept apart, and at most two pieces of a source share a bin."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return packing.pack(docs, packing.word_count(docs["text"]), F.xxhash64(docs["text"]))
+    return packing.pack(docs, packing.word_count(docs["text"]), packing.copies(docs["text"]))
 
 
 @query("op1_secrets")
