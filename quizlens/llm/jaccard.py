@@ -8,8 +8,8 @@ follow from the sizes. For sets of n and m elements a link needs an overlap of a
    link and is done; that is nearly all of an ordinary corpus. The texts of the others are fetched once.
 2. Among these the documents of each n-gram are counted. The most frequent n-grams (`max_frequent`, a bounded broadcast) come last in the order of
    n-grams, by frequency; the others come first, by hash. Any order gives the same result, this one gives few candidates. Of each class the first
-   n - ceil(3n/4) + 1 n-grams in that order are kept: two linked classes have one of them in common. A block of these n-grams multiplies its columns of
-   up to `short` documents: it adds up, per pair, the overlaps in this block, and leaves out pairs of which the positions show that the
+   n - ceil(3n/4) + 1 n-grams in that order are kept: two linked classes have one of them in common. The columns of these n-grams that have
+   up to `short` documents are multiplied: overlaps are added up per pair, and leaves out pairs of which the positions show that the
    overlap cannot be reached. Longer columns are not multiplied out: each document is paired with the column's smallest only.
 3. Pairs are cut by a second bound, the number of bits in which the sets' parity bitmaps differ (at most the size of the symmetric difference).
 4. In each of a few rounds every component (at first, every class) verifies its pair with the largest partial overlap to another one on whole texts,
@@ -41,6 +41,8 @@ from quizlens.llm.text import mix, pieces, text_bytes
 from quizlens.sinks.stage import stage
 
 CHUNK = 2 << 20
+ENTRIES = 2 << 20  # entries of a block, and pairs held before they are added up
+CLASSES = 1 << 18  # classes of a shard
 
 
 def class_of(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -87,10 +89,11 @@ def _ngram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(n)], ["g", "n"])
 
 
-def _shared_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per class, its entries in each block that another class has too; batches come sorted by block, one block is held at a time.
+def _shared_entries(shards: int):
+    """Per block and shard of classes one packed row: the classes that share entries of the block, and how many.
 
-    Entries are compared by 32 bits of their hash beside the block's number; a chance match can only keep a class that a later step drops.
+    Batches come sorted by block, one block is held at a time. Entries are compared by 32 bits of their hash beside the block's number; a chance match
+    can only keep a class that a later step drops.
     """
     def solve(held):
         cls = np.concatenate([np.frombuffer(c, np.int64) for c, _, _ in held])
@@ -104,18 +107,54 @@ def _shared_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         twice[:-1] |= twice[1:]
         n = np.bincount((entry[twice] & np.uint64(0xFFFFFFFF)).astype(np.int64), minlength=len(names))
         at = np.flatnonzero(n)
-        return pa.RecordBatch.from_arrays([pa.array(names[at]), pa.array(n[at])], ["cls", "shared"])
+        shard = (names[at].view(np.uint64) % np.uint64(shards)).astype(np.int64)
+        order = np.argsort(shard, kind="stable")
+        at, cuts = at[order], np.searchsorted(shard[order], np.arange(shards + 1))
+        here = np.flatnonzero(np.diff(cuts))
+        packed = [[x[at[cuts[s] : cuts[s + 1]]].tobytes() for s in here] for x in (names, n.astype(np.int64))]
+        return pa.RecordBatch.from_arrays([pa.array(here, pa.int64()), *(pa.array(x, pa.binary()) for x in packed)], ["shard", "cls", "shared"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held = None, []
+        for b in batches:
+            for k, *row in zip(*(b.column(c).to_pylist() for c in ("block", "cls", "k", "h")), strict=True):
+                if k != block and held:
+                    yield solve(held)
+                    held = []
+                block = k
+                held.append(row)
+        if held:
+            yield solve(held)
+
+    return run
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums packed rows (shard, cls, shared) per class; rows come sorted by shard, one shard's classes are held at a time."""
+    shard, cls, shared, new = None, np.zeros(0, np.int64), np.zeros(0, np.int64), []
+
+    def fold():
+        c = np.concatenate([cls, *(x for x, _ in new)])
+        n = np.concatenate([shared, *(x for _, x in new)])
+        names, at = np.unique(c, return_inverse=True)
+        out = np.zeros(len(names), np.int64)
+        np.add.at(out, at, n)
+        return names, out
 
-    block, held = None, []
     for b in batches:
-        for k, *row in zip(*(b.column(c).to_pylist() for c in ("block", "cls", "k", "h")), strict=True):
-            if k != block and held:
-                yield solve(held)
-                held = []
-            block = k
-            held.append(row)
-    if held:
-        yield solve(held)
+        for s, c, n in zip(*(b.column(k).to_pylist() for k in ("shard", "cls", "shared")), strict=True):
+            if s != shard:
+                if shard is not None:
+                    cls, shared = fold()
+                    yield pa.RecordBatch.from_arrays([pa.array(cls), pa.array(shared)], ["cls", "shared"])
+                shard, cls, shared, new = s, np.zeros(0, np.int64), np.zeros(0, np.int64), []
+            new.append((np.frombuffer(c, np.int64), np.frombuffer(n, np.int64)))
+            if sum(len(x) for x, _ in new) > CLASSES:
+                cls, shared = fold()
+                new = []
+    if shard is not None:
+        cls, shared = fold()
+        yield pa.RecordBatch.from_arrays([pa.array(cls), pa.array(shared)], ["cls", "shared"])
 
 
 def _overlap_bound(n, m):
@@ -154,15 +193,73 @@ def block_pairs(g: np.ndarray, cls: np.ndarray, n: np.ndarray, place: np.ndarray
     return a[new], b[new], np.diff(np.append(new, len(a))), rest
 
 
-def join(docs: DataFrame, text: str = "text", id: str = "doc_id", max_frequent: int = 1 << 20, short: int = 4, rounds: int = 3) -> DataFrame:
+def _multiply(short: int):
+    """Products of columns that come sorted by n-gram: pairs with their overlaps (n-gram 0), and the entries of long columns as they are.
+
+    A column is held up to `short` entries; pairs are added up in pieces of ENTRIES.
+    """
+    names = ("g", "cls", "n", "place")
+
+    def rows(*columns):
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["g", "a", "b", "c"])
+
+    def folded(found):
+        a, b, c = (np.concatenate(x) for x in zip(*found, strict=True))
+        o = np.lexsort((b, a))
+        a, b, c = a[o], b[o], c[o]
+        new = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+        return rows(np.zeros(len(new), np.int64), a[new], b[new], np.add.reduceat(c, new))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = [np.zeros(0, np.int64)] * 4
+        carry, long, found, held = none, None, [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = [np.concatenate([x, batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64)]) for x, c in zip(carry, names, strict=True)]
+            more = 0 if long is None else int(np.searchsorted(columns[0], long, "right"))  # a long column goes on
+            if more:
+                yield rows(*(x[:more] for x in columns))
+                columns = [x[more:] for x in columns]
+            if not len(columns[0]):
+                carry = none
+                continue
+            last = int(np.searchsorted(columns[0], columns[0][-1], "left"))
+            carry, columns, long = [x[last:] for x in columns], [x[:last] for x in columns], None
+            if len(carry[0]) > short and len(np.unique(carry[1])) > short:
+                long = carry[0][-1]
+                yield rows(*carry)
+                carry = none
+            a, b, overlap, rest = block_pairs(*columns, short)
+            if len(rest[0]):
+                yield rows(*rest)
+            if len(a):
+                found.append((a, b, overlap))
+                held += len(a)
+            if held > ENTRIES:
+                yield folded(found)
+                found, held = [], 0
+        a, b, overlap, rest = block_pairs(*carry, short)
+        if len(rest[0]):
+            yield rows(*rest)
+        if len(a):
+            found.append((a, b, overlap))
+        if found:
+            yield folded(found)
+
+    return run
+
+
+def join(docs: DataFrame, text: str = "text", id: str = "doc_id", max_frequent: int = 1 << 17, short: int = 4, rounds: int = 3) -> DataFrame:
     """(doc_id, n_shingles, component_id, text_key) per document; text_key is a hash of the text, which tells rows of one id apart."""
     spark = docs.sparkSession
     given = docs.select(docs[id].cast("bigint").alias("__id"), docs[text].alias("__text"), F.xxhash64(docs[text]).alias("__key"))
-    blocks = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     # 1. one row per document, and the classes that share enough of their n-grams with others
     rows = stage(given.mapInArrow(_document_rows, "id BIGINT, key BIGINT, cls BIGINT, n BIGINT"), "ngram-documents")
     by_class = rows.where("n > 0").groupBy("cls").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("rep"), F.first("n").alias("n"))
+    size = rows.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    blocks, shards = -(-size[0] // ENTRIES) or 1, -(-size[1] // CLASSES) or 1
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, "__text", 2 * CHUNK):
@@ -180,10 +277,11 @@ def join(docs: DataFrame, text: str = "text", id: str = "doc_id", max_frequent:
                 at = np.flatnonzero(np.concatenate([[True], here[1:] != here[:-1]]))
                 for out, x in zip(packed, (k, cls[here[at]].tobytes(), np.diff(np.append(at, len(here))).astype(np.uint32).tobytes(), high[cuts[k] : cuts[k + 1]].tobytes()), strict=True):
                     out.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(packed[0], pa.int32()), *(pa.array(x, pa.binary()) for x in packed[1:])], ["block", "cls", "k", "h"])
+            yield pa.RecordBatch.from_arrays([pa.array(packed[0], pa.int64()), *(pa.array(x, pa.binary()) for x in packed[1:])], ["block", "cls", "k", "h"])
 
-    dealt = given.select("__text").mapInArrow(deal, "block INT, cls BINARY, k BINARY, h BINARY").repartition(blocks, "block").sortWithinPartitions("block")
-    shared_count = dealt.mapInArrow(_shared_entries, "cls BIGINT, shared BIGINT").groupBy("cls").agg(F.sum("shared").alias("shared"))
+    dealt = given.select("__text").mapInArrow(deal, "block BIGINT, cls BINARY, k BINARY, h BINARY").repartition("block").sortWithinPartitions("block")
+    packed = dealt.mapInArrow(_shared_entries(shards), "shard BIGINT, cls BINARY, shared BINARY")
+    shared_count = packed.repartition("shard").sortWithinPartitions("shard").mapInArrow(_summed, "cls BIGINT, shared BIGINT")
     live = by_class.join(shared_count, "cls").where("4 * shared >= 3 * n").select("cls", "n", "rep.id", "rep.key").hint("shuffle_hash")
     fetched = given.join(live, given["__id"].eqNullSafe(live["id"]) & (given["__key"] == live["key"])).select("cls", F.col("__text").alias("text"))
     texts = stage(fetched.dropDuplicates(["cls"]), "ngram-texts")
@@ -194,8 +292,9 @@ def join(docs: DataFrame, text: str = "text", id: str = "doc_id", max_frequent:
     while total > max_frequent:  # raise the frequency until the list fits its bound
         least *= 2
         total = counts.where(F.col("n") >= least).count()
-    frequent = counts.where(F.col("n") >= least).orderBy("g").toPandas()
-    shared = spark.sparkContext.broadcast((frequent["g"].to_numpy(np.int64), frequent["n"].to_numpy(np.int64)))
+    frequent = counts.where(F.col("n") >= least).orderBy("g").toArrow()
+    shared = spark.sparkContext.broadcast(tuple(frequent[c].to_numpy() for c in ("g", "n")))
+    del frequent
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, how_often = shared.value
@@ -217,19 +316,8 @@ def join(docs: DataFrame, text: str = "text", id: str = "doc_id", max_frequent:
     maps = members.select("cls", "n", "bitmap")
     entries = members.select("cls", "n", F.posexplode("g").alias("place", "g"))
 
-    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [b for b in batches if b.num_rows]
-        if not got:
-            return
-        columns = [np.concatenate([b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for b in got]) for c in ("g", "cls", "n", "place")]
-        del got
-        a, b, overlap, (g, cls, n, place) = block_pairs(*columns, short)
-        none = np.zeros(len(a), np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (none, a, b, overlap)], ["g", "a", "b", "c"])
-        if len(g):  # entries of long columns: n-gram, class, size, place
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (g, cls, n, place)], ["g", "a", "b", "c"])
-
-    product = stage(entries.repartition(blocks, "g").mapInArrow(multiply, "g BIGINT, a BIGINT, b BIGINT, c BIGINT"), "ngram-product")
+    product = stage(entries.repartition("g").sortWithinPartitions("g").mapInArrow(_multiply(short), "g BIGINT, a BIGINT, b BIGINT, c BIGINT"), "ngram-product")
+    shared.unpersist()
     pairs = product.where("g = 0").groupBy("a", "b").agg(F.sum("c").alias("c"))
     long = product.where("g <> 0").select("g", F.col("a").alias("cls"), F.col("b").alias("n"), F.col("c").alias("place"))
     hubs = long.groupBy("g").agg(F.min("cls").alias("hub"))
@@ -239,17 +327,18 @@ def join(docs: DataFrame, text: str = "text", id: str = "doc_id", max_frequent:
     near = stage(_near(pairs.unionByName(stars), maps), "ngram-pairs")
     links, done = near.select("a", "b").limit(0), near.select("a", "b").limit(0)
     roots = near.select(F.col("a").alias("id"), F.col("b").alias("root")).limit(0)
+    open_columns = stage(_open_columns(long, roots), "ngram-open")
     for _ in range(rounds):
-        crossing = _apart(near.unionByName(_near(_list_pairs(_open_columns(long, roots)), maps)).join(done, ["a", "b"], "left_anti"), roots)
-        ends = crossing.select(F.col("ra").alias("root"), "c", "a", "b").unionByName(crossing.select(F.col("rb").alias("root"), "c", "a", "b"))
+        crossing = _apart(near.unionByName(_near(_list_pairs(open_columns), maps)).join(done, ["a", "b"], "left_anti"), roots)
+        ends = crossing.select(F.explode(F.array("ra", "rb")).alias("root"), "c", "a", "b")
         best = stage(ends.groupBy("root").agg(F.max(F.struct("c", "a", "b")).alias("m")).select("m.a", "m.b").distinct(), "ngram-best")
         if best.isEmpty():  # every pair has been decided
             break
         done = stage(done.unionByName(best), "ngram-done")
         links = stage(links.unionByName(_verified(best, texts)), "ngram-links")
         roots = components(links)
+        open_columns = stage(_open_columns(long, roots), "ngram-open")
 
-    open_columns = stage(_open_columns(long, roots), "ngram-open")
     x, y = open_columns.where("root <> most").alias("x"), open_columns.alias("y")
     across = x.join(y, F.col("x.g") == F.col("y.g")).where(
         (F.col("x.root") != F.col("y.root")) & ((F.col("y.root") == F.col("y.most")) | (F.col("x.cls") < F.col("y.cls")))

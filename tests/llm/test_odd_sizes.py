@@ -57,3 +57,24 @@ def test_few_labels_reject_nothing(spark, docs_of):
 def test_model_without_words_scores_the_share_of_toxic_rows():
     model = toxicity.fit([(int(i < 10), [b"w%d" % i]) for i in range(68)])
     assert not model.weights and abs(model.score(b"anything") - 10.5 / 69) < 1e-9
+
+
+def test_streamed_products_equal_the_whole_product():
+    import numpy as np
+    import pyarrow as pa
+
+    from quizlens.llm import jaccard
+
+    pick = np.random.RandomState(2)
+    for _ in range(20):
+        entries = sorted({(int(g), int(c)) for g, c in zip(pick.zipf(1.5, 400) % 60 - 20, pick.randint(1, 30, 400))})
+        g, cls = (np.array(x, np.int64) for x in zip(*entries))
+        n, place = np.full(len(g), 9, np.int64), pick.randint(0, 3, len(g)).astype(np.int64)
+        a, b, c, rest = jaccard.block_pairs(g, cls, n, place, 4)
+        cuts = sorted({0, len(g), *pick.randint(0, len(g), 25).tolist()})
+        batches = [pa.RecordBatch.from_arrays([pa.array(x[s:e]) for x in (g, cls, n, place)], ["g", "cls", "n", "place"]) for s, e in zip(cuts, cuts[1:])]
+        rows = [tuple(r.values()) for batch in jaccard._multiply(4)(iter(batches)) for r in batch.to_pylist()]
+        # n-gram 0 marks pairs, so columns of that name are told apart by their place
+        assert sorted(r for r in rows if r[0] != 0) == sorted(r for r in zip(*(x.tolist() for x in rest)) if r[0] != 0)
+        if 0 not in g:
+            assert sorted(r[1:] for r in rows if r[0] == 0) == sorted(zip(a.tolist(), b.tolist(), c.tolist()))
