@@ -13,7 +13,7 @@ follow from the sizes. For sets of n and m elements a link needs an overlap of a
    overlap cannot be reached. Longer columns are not multiplied out: each document is paired with the column's smallest only.
 3. Pairs are cut by a second bound, the number of bits in which the sets' parity bitmaps differ (at most the size of the symmetric difference).
 4. In each of a few rounds every component (at first, every class) verifies its pair with the largest partial overlap to another one on whole texts,
-   and links join components; long columns offer one pair between each of their components and their largest one. What is left are pairs
+   and links join components; long columns offer one pair between each of their components and their largest one, another one each round. What is left are pairs
    between different components; those of long columns are made now, between the documents outside a column's largest component and
    all others. They pass the same bounds and are verified. No link between different texts is lost, and a group of copies is never
    multiplied out.
@@ -250,7 +250,7 @@ def _multiply(short: int):
     return run
 
 
-def join(docs: DataFrame, text: str = "text", id: str = "doc_id", max_frequent: int = 1 << 17, short: int = 4, rounds: int = 3) -> DataFrame:
+def join(docs: DataFrame, text: str = "text", id: str = "doc_id", max_frequent: int = 1 << 17, short: int = 4, rounds: int = 4) -> DataFrame:
     """(doc_id, n_shingles, component_id, text_key) per document; text_key is a hash of the text, which tells rows of one id apart."""
     spark = docs.sparkSession
     given = docs.select(docs[id].cast("bigint").alias("__id"), docs[text].alias("__text"), F.xxhash64(docs[text]).alias("__key"))
@@ -328,8 +328,8 @@ def join(docs: DataFrame, text: str = "text", id: str = "doc_id", max_frequent:
     links, done = near.select("a", "b").limit(0), near.select("a", "b").limit(0)
     roots = near.select(F.col("a").alias("id"), F.col("b").alias("root")).limit(0)
     open_columns = stage(_open_columns(long, roots), "ngram-open")
-    for _ in range(rounds):
-        crossing = _apart(near.unionByName(_near(_list_pairs(open_columns), maps)).join(done, ["a", "b"], "left_anti"), roots)
+    for turn in range(rounds):
+        crossing = _apart(near.unionByName(_near(_list_pairs(open_columns, turn), maps)).join(done, ["a", "b"], "left_anti"), roots)
         ends = crossing.select(F.explode(F.array("ra", "rb")).alias("root"), "c", "a", "b")
         best = stage(ends.groupBy("root").agg(F.max(F.struct("c", "a", "b")).alias("m")).select("m.a", "m.b").distinct(), "ngram-best")
         if best.isEmpty():  # every pair has been decided
@@ -415,9 +415,9 @@ def _open_columns(long: DataFrame, roots: DataFrame) -> DataFrame:
     return entries.join(largest, "g")
 
 
-def _list_pairs(open_columns: DataFrame) -> DataFrame:
-    """One document of each component of a column with one of its largest component."""
-    first = open_columns.groupBy("g", "root", "most").agg(F.min("cls").alias("cls"))
+def _list_pairs(open_columns: DataFrame, turn: int) -> DataFrame:
+    """One document of each component of a column with one of its largest component; others each turn."""
+    first = open_columns.groupBy("g", "root", "most").agg(F.min(F.struct(F.xxhash64("cls", F.lit(turn)).alias("h"), "cls")).alias("m")).select("g", "root", "most", F.col("m.cls").alias("cls"))
     hub = first.where("root = most").select("g", F.col("cls").alias("hub"))
     both = first.where("root <> most").join(hub, "g")
     return both.groupBy(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).agg(F.count(F.lit(1)).alias("c"))
