@@ -90,7 +90,7 @@ def oracle(sql: str) -> str:
     seen: list[str] = []
     _needed(sql, seen)
     plain = _MARK.sub(r"\1", sql).strip()
-    heads = [f"{n} AS ({_MARK.sub(chr(92) + '1', ROLES[n]).strip()})" for n in seen]
+    heads = [f"{n} AS MATERIALIZED ({_MARK.sub(chr(92) + '1', ROLES[n]).strip()})" for n in seen]
     if not heads:
         return plain
     if plain.upper().startswith("WITH "):
