@@ -102,6 +102,36 @@ def flatten_submissions(log: DataFrame, since: str | None = None, per_archive: i
     return flat.select(*SHEET, *[f"o.{c}" for c in OPTION])
 
 
+def log_rejects(log: DataFrame, since: str | None = None) -> DataFrame:
+    """What the sheet leaves out: (archive, line_no, question_id, reason, text), one row per line or question.
+
+    Lines that are no log rows; graded submissions without a readable time, where a cut-off needs one; submissions without questions; questions of an
+    unknown kind; questions of a known kind without any option. All are found in one scan, the event is parsed once.
+    """
+    name, nothing = F.lit(None).cast("string"), F.array().cast("array<struct<question_id: string, reason: string, text: string>>")
+
+    def one(reason: str, text: Column) -> Column:
+        return F.array(F.struct(name.alias("question_id"), F.lit(reason).alias("reason"), text.alias("text")))
+
+    def problem(entry: Column) -> Column:
+        s = entry["value"]
+        kind = s["input_type"]
+        options = F.when(kind.isin("checkboxgroup", "choicegroup"), F.size(F.map_keys(s["choices_map"]))).when(
+            kind == "optioninput", F.size(s["answers_available"])).otherwise(F.size(s["answer_correct"]))
+        return F.when(kind.isNull() | ~kind.isin(*INPUT_TYPES), F.lit("unknown kind")).when(options.isNull() | (options <= 0), F.lit("no options"))
+
+    rows = log.where(F.col("_corrupt").isNotNull() | is_check()).withColumn("__submission", F.from_json("event", CHECK_EVENT)["submission"])
+    questions = F.map_entries("__submission")
+    wrong = F.transform(F.filter(questions, lambda e: problem(e).isNotNull()), lambda e: F.struct(
+        e["key"].alias("question_id"), problem(e).alias("reason"), e["value"]["input_type"].alias("text")))
+    time = log_time(F.col("time"))
+    found = F.when(F.col("_corrupt").isNotNull(), one("unreadable line", F.col("_corrupt")))
+    if since is not None:
+        found = found.when(time.isNull(), one("bad time", F.col("time"))).when(time <= F.lit(since).cast("timestamp_ntz"), nothing)
+    found = found.when(F.coalesce(F.size("__submission"), F.lit(0)) <= 0, one("no questions", name)).otherwise(wrong)
+    return rows.select("archive", "line_no", F.explode(found).alias("r")).select("archive", "line_no", "r.*")
+
+
 def unknown_inputs(log: DataFrame, since: str | None = None) -> DataFrame:
     """Questions of a kind the sheet has no rule for."""
     asked = submitted_questions(problem_checks(log, since))
@@ -123,9 +153,10 @@ def submissions_as_json(log: DataFrame) -> DataFrame:
 
 
 def log_counters(log: DataFrame) -> DataFrame:
-    """Per archive: lines, graded submissions, unreadable lines."""
+    """Per archive: lines, graded submissions and those of them without a readable time, unreadable lines."""
     return log.groupBy("archive").agg(
         F.count(F.lit(1)).alias("lines"), F.count_if(is_check()).alias("checks"),
+        F.count_if(is_check() & log_time(F.col("time")).isNull()).alias("bad_times"),
         F.count_if(F.col("_corrupt").isNotNull()).alias("unreadable"))
 
 

@@ -6,6 +6,7 @@ import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -165,6 +166,14 @@ class Ledger:
             "load_name", F.lit(dest).alias("dest"), F.current_timestamp().alias("load_ts")), self.path)
 
 
+def _observed(seen: Observation) -> int:
+    """Rows that an observed write has seen. Where Spark has found out that there is nothing to write, it drops the observation with the plan."""
+    try:
+        return int(seen.get["n"])
+    except Py4JError:
+        return 0
+
+
 @dataclass
 class RunReport:
     """Rows written and seconds per step, and the errors of steps that failed."""
@@ -178,7 +187,7 @@ class RunReport:
         seen, start = Observation(), time.monotonic()
         try:
             writer(df.observe(seen, F.count(F.lit(1)).alias("n")))
-            self.steps.append((step, int(seen.get["n"]), time.monotonic() - start, None))
+            self.steps.append((step, _observed(seen), time.monotonic() - start, None))
             return True
         except Exception as error:  # noqa: BLE001 - reported
             self.steps.append((step, None, time.monotonic() - start, f"{type(error).__name__}: {error}"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from quizlens.functions import file_name
 from quizlens.schemas import STRUCTURE_FILE
@@ -26,6 +27,25 @@ def read_structure_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
         F.monotonically_increasing_id().alias("row")))
 
 
+def with_line_numbers(scan: DataFrame) -> DataFrame:
+    """A file scan with `archive` (the file's name) and `line_no`, the number of the record in its file, from 1.
+
+    A large file is read in blocks by several tasks, so the numbers are found in two passes: the first counts the records of each block, a
+    running sum over a file's blocks gives where each block begins. The table of blocks is narrow, one row per block. Inside a block the records keep
+    their order; the ids that Spark deals to them are consecutive there.
+    """
+    block = ["__file", "__start"]
+    rows = scan.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__start"),
+                       F.col("_metadata.file_name").alias("archive"), F.monotonically_increasing_id().alias("__row"))
+    blocks = rows.groupBy(*block).agg(F.count(F.lit(1)).alias("__n"), F.min("__row").alias("__first"))
+    before = Window.partitionBy("__file").orderBy("__start").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    at = F.col("__row") - F.col("__first")
+    # both passes must deal the same blocks to the same tasks, or the numbers would be wrong
+    number = F.when((at >= 0) & (at < F.col("__n")), F.col("__before") + at + 1).otherwise(F.raise_error(F.lit("a file changed while its lines were numbered")).cast("bigint"))
+    return rows.join(blocks, block).withColumn("line_no", number).drop(*block, "__row", "__first", "__n", "__before")
+
+
 def read_renamed_csv(spark: SparkSession, path: str, schema: str, names: list[str], sep: str = ";") -> DataFrame:
     """A column subset under new names, as a COPY with a column list does."""
     return read_csv(spark, path, schema, sep=sep, multi_line=False).toDF(*names)
@@ -53,10 +73,9 @@ def read_event_log(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
     json_tuple parses a line once, however many fields and filters use it, and leaves nested values as text: `event` is
     an object in some rows and a text in others. A gzipped file is one task; the readers downstream filter before they
-    spread the rows.
+    spread the rows. line_no is the line's number in its file, also where a large plain file is read by several tasks.
     """
-    raw = spark.read.text(path).select(
-        "value", F.col("_metadata.file_name").alias("archive"), F.monotonically_increasing_id().alias("line_no"))
+    raw = with_line_numbers(spark.read.text(path))
     fields = ["username", "event_type", "event_source", "time", "context", "event"]
     lines = raw.select("*", F.json_tuple("value", *fields).alias(*fields))
     no_field = F.coalesce(*[F.col(f) for f in fields]).isNull()

@@ -7,7 +7,7 @@ import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
-from quizlens.plans.export_load import Store, build_marts, load_exports
+from quizlens.plans.export_load import Store, build_marts, load_exports, log_of_loads
 from quizlens.sinks import tables as W
 from quizlens.sinks.stage import shared_dir, stage
 
@@ -111,6 +111,7 @@ def test_exports_to_marts(spark, tmp_path):
     export(folder, "one.zip", "alg", {"u1": (1, 1), "u2": (0, 0), "u3": (1, 0), "u4": (1, 1)})
     (folder / "broken.zip").write_bytes(b"no zip")
     report = load_exports(store, str(folder))
+    assert store.rejects().count() == 0
     assert [r[1] for r in rows(report.rejects())] == ["broken"]
     assert report.frame().where("error is not null").count() == 0
     assert rows(store.table("course"), "slug", "name") == [("alg", 'Course "alg"')]
@@ -144,3 +145,32 @@ def test_exports_to_marts(spark, tmp_path):
     again = build_marts(store)
     assert {s[0]: s[1] for s in again.steps} == {"str": 1, "heat": 2, "aud": 3}
     assert store.table("mart_heat").count() == 4 and store.table("course").count() == 2
+
+
+def test_bad_values_are_rejected_and_listed(spark, tmp_path):
+    folder, store = tmp_path / "in", Store(spark, str(tmp_path / "store"))
+    folder.mkdir()
+    export(folder, "one.zip", "alg", {"u1": (1, "much"), "u2": (0, 0), "u3": (1, 0)})
+    assert load_exports(store, str(folder)).frame().where("error is not null").count() == 0
+    listed = store.rejects()
+    assert rows(listed, "step", "archive", "member", "line", "column_name", "text") == sorted([
+        ("caq_event", "one", "assessment_responses.csv", 2, "assessment_response_score", "much"),
+        ("caq_event", "one", "assessment_responses.csv", 2, "assessment_response_weighted_score", "much")])
+    assert store.table("caq_event").where("question_ext_id is not null").count() == 5
+
+
+def test_only_new_courses_are_built_from_their_own_loads(spark, tmp_path):
+    folder, store = tmp_path / "in", Store(spark, str(tmp_path / "store"))
+    folder.mkdir()
+    export(folder, "one.zip", "alg", {"u1": (1, 1), "u2": (0, 1)})
+    export(folder, "none.zip", "empty", {})
+    load_exports(store, str(folder))
+    build_marts(store)
+    # the course without any answer has no row in a mart and is not built again
+    assert build_marts(store).steps == []
+    loads = [r[0] for r in store.table("course").where("slug = 'alg'").select("load_id").collect()]
+    for name in ("caq_event", "cqo_event"):
+        log = log_of_loads(store.table(name), loads)
+        plan = log._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [" in plan and "load_id" in plan.split("PartitionFilters: [")[1].split("]")[0]
+        assert len({f.split("load_id=")[1].split("/")[0] for f in log.inputFiles()}) <= 2 and log.count() == 4
