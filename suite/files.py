@@ -15,6 +15,7 @@ from quizlens.sinks import tables as W
 from quizlens.sinks.stage import scratch_path, stage
 from quizlens.sources import archives as A
 from quizlens.sources import files as R
+from quizlens.sources.typed import load_archives, load_csv
 from suite.registry import query, role
 
 
@@ -220,7 +221,7 @@ def events_option_log(t):
 
 
 # --- tracking log ---------------------------------------------------------------------------------------------------
-def log_lines(t):
+def log_lines(t, *keep):
     """A tracking-log line per order row: a graded submission with one question whose kind follows the line number."""
     kinds = F.array(*[F.lit(k) for k in (*S.INPUT_TYPES, "drawing")])
     kind = F.get(kinds, F.col("l_linenumber") % 6)
@@ -248,7 +249,7 @@ def log_lines(t):
     # the chosen values of a checkbox group are arrays
     line = F.replace(F.replace(line, F.lit('"@choice@"'), F.concat(F.lit('["'), picked, F.lit('","c1"]'))),
                      F.lit('"@answer@"'), F.concat(F.lit('["'), shown, F.lit('","second"]')))
-    return t["lineitem"].repartition(t.spark.sparkContext.defaultParallelism).select(line.alias("value"))
+    return t["lineitem"].repartition(t.spark.sparkContext.defaultParallelism).select(line.alias("value"), *keep)
 
 
 def read_log(t):
@@ -383,3 +384,91 @@ SELECT p_brand, concat('x', p_partkey), NULL, 'nested response not read', 'strin
 def test_bank_lost(t):
     """E12f, E12g."""
     return rejected_elements(problem_docs(t))
+
+
+# --- rejects --------------------------------------------------------------------------------------------------------
+role("b_orders", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 97 = 0 THEN concat('n/a ', o_custkey) ELSE CAST(o_custkey AS VARCHAR(20)) END AS cust,
+  CASE WHEN o_orderkey % 89 = 0 THEN '2020-13-45' WHEN o_orderkey % 83 = 0 THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day
+FROM {orders}
+""")
+
+
+def planted_orders(t):
+    """Orders as texts, some of which do not fit a number or a date."""
+    key = F.col("o_orderkey")
+    return t["orders"].select(
+        key, F.when(key % 97 == 0, F.concat(F.lit("n/a "), F.col("o_custkey").cast("string"))).otherwise(F.col("o_custkey").cast("string")).alias("cust"),
+        F.when(key % 89 == 0, "2020-13-45").when(key % 83 == 0, None).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("day"))
+
+
+@query("load_archive_rejects", """
+SELECT 'cust' AS column_name, 'not a bigint' AS reason, cust AS value, count(*) AS n FROM {b_orders} WHERE cust LIKE 'n/a%' GROUP BY cust
+UNION ALL SELECT 'day', 'not a date', day, count(*) FROM {b_orders} WHERE day = '2020-13-45' GROUP BY day
+UNION ALL SELECT 'rows', NULL, NULL, count(*) FROM {b_orders} WHERE cust NOT LIKE 'n/a%' AND coalesce(day, '') <> '2020-13-45'
+UNION ALL SELECT 'rejected lines', NULL, NULL, count(*) FROM {b_orders} WHERE cust LIKE 'n/a%' OR day = '2020-13-45'
+""")
+def load_archive_rejects(t):
+    """Planted bad values in zip archives are listed, all other records are typed rows."""
+    folder = scratch_path(t.spark, "zips")
+    zip_partitions(planted_orders(t).repartition(4), folder, "orders.csv")
+    load = load_archives(t.spark, folder, "orders.csv", "o_orderkey BIGINT, cust BIGINT, day DATE")
+    return _listed(load, load.rejected.groupBy("column_name", "reason", F.col("text").alias("value")))
+
+
+def _listed(load, values):
+    """Values per reject, and how many records became rows or were rejected."""
+    total = lambda df, name: df.agg(F.lit(name).alias("column_name"), F.lit(None).cast("string").alias("reason"), F.lit(None).cast("string").alias("value"), F.count(F.lit(1)).alias("n"))
+    lines = load.rejected.select("archive", "member", "line").distinct()
+    return values.agg(F.count(F.lit(1)).alias("n")).unionByName(total(load.rows, "rows")).unionByName(total(lines, "rejected lines"))
+
+
+@query("load_csv_rejects", """
+SELECT 'cust' AS column_name, 'not a bigint' AS reason, cust AS value, count(*) AS n FROM {b_orders} WHERE cust LIKE 'n/a%' AND o_orderkey % 7 <> 0 GROUP BY cust
+UNION ALL SELECT 'day', 'not a date', day, count(*) FROM {b_orders} WHERE day = '2020-13-45' AND o_orderkey % 7 <> 0 GROUP BY day
+UNION ALL SELECT NULL, 'number of fields', CAST(o_orderkey AS VARCHAR(20)), count(*) FROM {b_orders} WHERE o_orderkey % 7 = 0 GROUP BY o_orderkey
+UNION ALL SELECT 'rows', NULL, NULL, count(*) FROM {b_orders} WHERE cust NOT LIKE 'n/a%' AND coalesce(day, '') <> '2020-13-45' AND o_orderkey % 7 <> 0
+UNION ALL SELECT 'rejected lines', NULL, NULL, count(*) FROM {b_orders} WHERE cust LIKE 'n/a%' OR day = '2020-13-45' OR o_orderkey % 7 = 0
+""")
+def load_csv_rejects(t):
+    """Lines with too few fields or bad values, in plain text files."""
+    path, key = scratch_path(t.spark, "lines"), F.col("o_orderkey").cast("string")
+    line = F.when(F.col("o_orderkey") % 7 == 0, key).otherwise(F.concat_ws(";", key, "cust", F.coalesce("day", F.lit(""))))
+    planted_orders(t).select(line.alias("value")).write.text(path)
+    load = load_csv(t.spark, path, "o_orderkey BIGINT, cust BIGINT, day DATE", sep=";", header=False)
+    return _listed(load, load.rejected.groupBy("column_name", "reason", F.col("text").alias("value")))
+
+
+role("g_bad", """
+SELECT *, CASE WHEN l_orderkey % 50 = 3 THEN 'unreadable line' WHEN l_linestatus <> 'F' THEN NULL WHEN l_orderkey % 50 = 5 THEN 'bad time'
+  WHEN l_shipdate <= TIMESTAMP '1996-01-01 00:00:00' THEN NULL WHEN l_linenumber % 6 = 5 THEN 'unknown kind'
+  WHEN l_orderkey % 50 = 9 THEN 'no options' END AS reason FROM {lineitem}
+""")
+
+
+@query("log_rejects", """
+SELECT reason, CASE WHEN reason IN ('unknown kind', 'no options') THEN concat('q', l_linenumber) END AS question_id, count(*) AS n
+FROM {g_bad} WHERE reason IS NOT NULL GROUP BY 1, 2
+UNION ALL SELECT 'counted bad times', NULL, count(*) FROM {g_bad} WHERE reason = 'bad time'
+""")
+def log_rejects(t):
+    """E4, E4f, E6: unreadable lines, bad times, unknown kinds and empty option lists, planted in the log, are listed."""
+    key, line = F.col("l_orderkey") % 50, F.col("value")
+    empty = line
+    for name, value in (("choices_map", "{}"), ("answers_available", "[]"), ("answer_correct", "[]")):
+        empty = F.regexp_replace(empty, rf'"{name}":(\{{[^}}]*\}}|\[[^\]]*\])', f'"{name}":{value}')
+    broken = F.regexp_replace(line, r'"time":"[^"]*"', '"time":"some day"')
+    planted = F.when(key == 3, F.lit("{not a log line")).when(key == 5, broken).when(key == 9, empty).otherwise(line)
+    path = scratch_path(t.spark, "log")
+    log_lines(t, "l_orderkey").select(planted.alias("value")).write.text(path, compression="gzip")
+    log = stage(R.read_event_log(t.spark, path), "log")
+    found = S.log_rejects(log, since="1996-01-01 00:00:00").groupBy("reason", "question_id").agg(F.count(F.lit(1)).alias("n"))
+    counted = S.log_counters(log).agg(F.lit("counted bad times").alias("reason"), F.lit(None).cast("string").alias("question_id"), F.sum("bad_times").alias("n"))
+    return found.unionByName(counted)
+
+
+@query("log_line_numbers", "SELECT CAST(count(*) AS BIGINT) AS lines, CAST(count(*) AS BIGINT) AS numbered, true AS complete FROM lineitem")
+def log_line_numbers(t):
+    """E5: every file's lines carry the numbers 1 to n."""
+    per_file = read_log(t).groupBy("archive").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("line_no").alias("d"), F.min("line_no").alias("low"), F.max("line_no").alias("high"))
+    return per_file.agg(F.sum("n").alias("lines"), F.sum("d").alias("numbered"), F.every((F.col("low") == 1) & (F.col("high") == F.col("n"))).alias("complete"))
