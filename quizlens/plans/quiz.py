@@ -286,11 +286,38 @@ def question_kind(of_options: bool = False) -> Column:
 
 
 # --- folds and marts ------------------------------------------------------------------------------------------------
-def first_attempt_questions(options: DataFrame) -> DataFrame:
-    """One row per question of a first attempt, with the score of its closing step."""
-    return options.where(F.col("attempt") == 1).select(
-        *TEST, "aq_ord", "qid", question_kind().alias("qtype"), "qa_id", "qza_id", "userid", "sumgrades", "qas_id",
-        "qas_state", "qas_sequencenumber", F.col("finish_score").alias("response_score"), "qas_attm_time").distinct()
+STEP = [*TEST, "aq_ord", "qid", "qa_id", "qza_id", "userid", "sumgrades", "qas_id", "qas_state", "qas_sequencenumber", "qas_attm_time"]
+
+
+def first_attempt_questions(cube: DataFrame) -> DataFrame:
+    """One row per question of a first attempt, with the score of its closing step; `cube` is read once and may be unstaged.
+
+    The log is folded by question attempt: a step becomes one row of flags (which kinds of data it holds, whether it counts as an answer), a question
+    attempt its last counted step, whether it has an order list, and its closing scores. All folds run on the one shuffle by question attempt; neither
+    listed options nor texts take part. A step that holds data of several kinds gives a row per kind, several closing scores a row per score.
+    """
+    no = F.lit(False)
+    order, finish = F.col("qasd_name") == "_order", F.col("qasd_name") == "-finish"
+    choice, answer = F.coalesce(is_choice(), no), F.coalesce(is_answer(), no)
+    flags = {
+        "choice": choice, "answer": answer, "other": ~choice & ~answer, "counts": F.coalesce(holds_answer(), no),
+        "listed": F.coalesce(order & F.col("qasd_value").isNotNull(), no), "unlisted": F.coalesce(order & F.col("qasd_value").isNull(), no),
+    }
+    rows = cube.where(F.col("attempt") == 1).select(*STEP, *[c.alias(f"__{n}") for n, c in flags.items()], F.when(finish, F.struct(F.col("response_score").alias("v"))).alias("__finish"))
+    steps = rows.repartition("qa_id").groupBy(*STEP).agg(*[F.bool_or(f"__{n}").alias(f"__{n}") for n in flags], F.collect_set("__finish").alias("__finish"))
+    fold = steps.groupBy("qa_id").agg(
+        F.max(F.when(F.col("__counts"), F.col("qas_id"))).alias("__last"), F.bool_or("__listed").alias("__has_list"), F.bool_or("__unlisted").alias("__no_list"),
+        F.array_distinct(F.flatten(F.collect_list("__finish"))).alias("__scores"))
+    last = steps.join(fold, "qa_id").where("qas_id = __last")
+    without = F.col("__no_list") | ~F.col("__has_list")
+    kinds = F.filter(F.array(
+        F.struct(F.lit("checkbox").alias("kind"), F.col("__choice").alias("there")),
+        F.struct(F.lit("radio").alias("kind"), (F.col("__answer") & F.col("__has_list")).alias("there")),
+        F.struct(F.lit(None).cast("string").alias("kind"), (F.col("__other") | (F.col("__answer") & without)).alias("there"))), lambda k: k["there"])
+    scores = F.when(F.size("__scores") == 0, F.array(F.struct(F.lit(None).cast(cube.schema["response_score"].dataType).alias("v")))).otherwise(F.col("__scores"))
+    rows = last.withColumn("__kind", F.explode(kinds)).withColumn("__score", F.explode(scores))
+    return rows.select(*TEST, "aq_ord", "qid", F.col("__kind.kind").alias("qtype"), "qa_id", "qza_id", "userid", "sumgrades", "qas_id",
+                       "qas_state", "qas_sequencenumber", F.col("__score.v").alias("response_score"), "qas_attm_time")
 
 
 def user_range_q(questions: DataFrame) -> DataFrame:

@@ -325,7 +325,7 @@ SELECT l_orderkey, l_linenumber, l_partkey, CAST(floor(cume_dist() OVER (
   PARTITION BY l_orderkey ORDER BY l_linenumber NULLS LAST, l_partkey NULLS LAST)) AS BIGINT) AS last_row FROM lineitem
 """)
 def window_last_row(t):
-    """Without a sort, because the last key of a group is its maximum."""
+    """The rows of rank 1 from the end."""
     rows = t["lineitem"].select("l_orderkey", "l_linenumber", "l_partkey")
     return is_last_row(rows, ["l_orderkey"], ["l_linenumber", "l_partkey"], "last_row")
 
