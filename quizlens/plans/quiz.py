@@ -302,12 +302,13 @@ def first_attempt_questions(cube: DataFrame) -> DataFrame:
     flags = {
         "choice": choice, "answer": answer, "other": ~choice & ~answer, "counts": F.coalesce(holds_answer(), no),
         "listed": F.coalesce(order & F.col("qasd_value").isNotNull(), no), "unlisted": F.coalesce(order & F.col("qasd_value").isNull(), no),
+        "finish": F.coalesce(finish, no),
     }
-    rows = cube.where(F.col("attempt") == 1).select(*STEP, *[c.alias(f"__{n}") for n, c in flags.items()], F.when(finish, F.struct(F.col("response_score").alias("v"))).alias("__finish"))
-    steps = rows.repartition("qa_id").groupBy(*STEP).agg(*[F.bool_or(f"__{n}").alias(f"__{n}") for n in flags], F.collect_set("__finish").alias("__finish"))
+    rows = cube.where(F.col("attempt") == 1).select(*STEP, F.col("response_score").alias("__v"), *[c.alias(f"__{n}") for n, c in flags.items()])
+    steps = rows.repartition("qa_id").groupBy(*STEP, "__v").agg(*[F.bool_or(f"__{n}").alias(f"__{n}") for n in flags])
     fold = steps.groupBy("qa_id").agg(
         F.max(F.when(F.col("__counts"), F.col("qas_id"))).alias("__last"), F.bool_or("__listed").alias("__has_list"), F.bool_or("__unlisted").alias("__no_list"),
-        F.array_distinct(F.flatten(F.collect_list("__finish"))).alias("__scores"))
+        F.collect_set(F.when(F.col("__finish"), F.struct(F.col("__v").alias("v")))).alias("__scores"))
     last = steps.join(fold, "qa_id").where("qas_id = __last")
     without = F.col("__no_list") | ~F.col("__has_list")
     kinds = F.filter(F.array(
@@ -317,7 +318,7 @@ def first_attempt_questions(cube: DataFrame) -> DataFrame:
     scores = F.when(F.size("__scores") == 0, F.array(F.struct(F.lit(None).cast(cube.schema["response_score"].dataType).alias("v")))).otherwise(F.col("__scores"))
     rows = last.withColumn("__kind", F.explode(kinds)).withColumn("__score", F.explode(scores))
     return rows.select(*TEST, "aq_ord", "qid", F.col("__kind.kind").alias("qtype"), "qa_id", "qza_id", "userid", "sumgrades", "qas_id",
-                       "qas_state", "qas_sequencenumber", F.col("__score.v").alias("response_score"), "qas_attm_time")
+                       "qas_state", "qas_sequencenumber", F.col("__score.v").alias("response_score"), "qas_attm_time").distinct()
 
 
 def user_range_q(questions: DataFrame) -> DataFrame:
