@@ -40,8 +40,8 @@ from quizlens.llm.shingles import shingle_sets
 from quizlens.llm.text import mix, pieces, text_bytes
 from quizlens.sinks.stage import stage
 
-CHUNK = 2 << 20
-ENTRIES = 2 << 20  # entries of a block, and pairs held before they are added up
+CHUNK = 1 << 20
+ENTRIES = 1 << 20  # entries of a block, and pairs held before they are added up
 CLASSES = 1 << 18  # classes of a shard
 
 
@@ -84,7 +84,7 @@ def _document_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _ngram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in pieces(batches, "__text", 2 * CHUNK):
+    for b in pieces(batches, "__text", CHUNK):
         u, n = np.unique(_sets(b)[0], return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(n)], ["g", "n"])
 
@@ -262,7 +262,7 @@ def join(docs: DataFrame, text: str = "text", id: str = "doc_id", max_frequent:
     blocks, shards = -(-size[0] // ENTRIES) or 1, -(-size[1] // CLASSES) or 1
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in pieces(batches, "__text", 2 * CHUNK):
+        for b in pieces(batches, "__text", CHUNK):
             values, bounds = _sets(b)
             n, cls = np.diff(bounds), class_of(values, bounds)
             owner = np.repeat(np.arange(len(n)), n)
