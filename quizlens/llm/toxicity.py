@@ -25,6 +25,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quizlens.llm.text import pieces
+
+CHUNK = 1 << 20
 # fixed values: groups of identity terms that may stand for one another
 IDENTITY_TERMS: tuple[tuple[str, ...], ...] = (
     ("women", "men", "girls", "boys"), ("woman", "man", "girl", "boy"), ("female", "male"),
@@ -167,7 +170,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: bool = False)
     schema = docs.select(*[docs[c] for c in rest], F.lit(0.0).alias("score"), F.lit(0).alias("predicted")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces(batches, source, CHUNK):
             s = np.array([model.score(None if t is None else t.encode()) for t in b.column(source).to_pylist()], float)
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in rest), pa.array(s), pa.array((s >= 0.5).astype(np.int32))], [*rest, "score", "predicted"])
 
