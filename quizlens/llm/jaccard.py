@@ -15,7 +15,7 @@ follow from the sizes. For sets of n and m elements a link needs an overlap of a
 4. In each of a few rounds every component (at first, every class) verifies its pair with the largest partial overlap to another one on whole texts,
    and links join components; long columns offer one pair between each of their components and their largest one, another one each round. What is left are pairs
    between different components; those of long columns are made now, between the documents outside a column's largest component and
-   all others. They pass the same bounds and are verified. No link between different texts is lost, and a group of copies is never
+   all others. Places, sizes and signatures (bitmaps folded to 1024 bits) cut them inside the join; the rest is verified. No link between different texts is lost, and a group of copies is never
    multiplied out.
 
 Classes are named by a 64-bit hash of their sets, n-grams by 64-bit hashes. Links are decided on overlaps counted exactly over these.
@@ -43,6 +43,7 @@ from quizlens.sinks.stage import stage
 CHUNK = 1 << 20
 ENTRIES = 1 << 20  # entries of a block, and pairs held before they are added up
 CLASSES = 1 << 18  # classes of a shard
+SIGNS = [f"s{k}" for k in range(16)]  # columns of a signature
 
 
 def class_of(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -55,12 +56,17 @@ def class_of(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def parity_bitmap(values: np.ndarray) -> bytes:
-    """One bit per place: whether an odd number of elements falls there; about as many bits as elements."""
-    bits = 1 << max(8, int(len(values) - 1).bit_length())
+    """One bit per place: whether an odd number of elements falls there; four to eight bits an element, so that few meet."""
+    bits = 64 * len(SIGNS) << max(0, int(len(values) - 1).bit_length() - 8)
     odd = np.bincount((values & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
+def signature(bitmap: bytes) -> np.ndarray:
+    """A parity bitmap folded to 1024 bits, as integers; the bits in which two of them differ bound the difference of the sets too."""
+    return np.bitwise_xor.reduce(np.frombuffer(bitmap, np.int64).reshape(-1, len(SIGNS)), axis=0)
+
+
 def differing_bits(a: bytes, b: bytes) -> int:
     """A lower bound of the size of the symmetric difference."""
     x, y = (np.unpackbits(np.frombuffer(v, np.uint8)) for v in (a, b))
@@ -310,9 +316,10 @@ def join(docs: DataFrame, text: str = "text", id: str = "doc_id", max_frequent:
             inside = place < (n - -(-3 * n // 4) + 1)[owner]
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.bincount(owner[inside], minlength=len(n)))]).astype(np.int32)), pa.array(signed[order][inside]))
             maps = [parity_bitmap(values[bounds[i] : bounds[i + 1]]) for i in range(len(n))]
-            yield pa.RecordBatch.from_arrays([b.column("cls"), pa.array(n), pa.array(maps, pa.binary()), lists], ["cls", "n", "bitmap", "g"])
+            signs = np.array([signature(m) for m in maps], np.int64).reshape(-1, len(SIGNS))
+            yield pa.RecordBatch.from_arrays([b.column("cls"), pa.array(n), pa.array(maps, pa.binary()), lists, *(pa.array(x) for x in signs.T.copy())], ["cls", "n", "bitmap", "g", *SIGNS])
 
-    members = stage(texts.select("cls", F.col("text").alias("__text")).mapInArrow(first, "cls BIGINT, n BIGINT, bitmap BINARY, g ARRAY<BIGINT>"), "ngram-first")
+    members = stage(texts.select("cls", F.col("text").alias("__text")).mapInArrow(first, "cls BIGINT, n BIGINT, bitmap BINARY, g ARRAY<BIGINT>, " + ", ".join(f"{x} BIGINT" for x in SIGNS)), "ngram-first")
     maps = members.select("cls", "n", "bitmap")
     entries = members.select("cls", "n", F.posexplode("g").alias("place", "g"))
 
@@ -339,10 +346,14 @@ def join(docs: DataFrame, text: str = "text", id: str = "doc_id", max_frequent:
         roots = components(links)
         open_columns = stage(_open_columns(long, roots), "ngram-open")
 
-    x, y = open_columns.where("root <> most").alias("x"), open_columns.alias("y")
+    # a pair leaves the join only if its places in the column, its sizes and its signatures allow a link
+    signed = stage(open_columns.join(members.select("cls", *SIGNS), "cls"), "ngram-open")
+    x, y = signed.where("root <> most").alias("x"), signed.alias("y")
+    differ = " + ".join(f"bit_count(x.{s} ^ y.{s})" for s in SIGNS)
     across = x.join(y, F.col("x.g") == F.col("y.g")).where(
-        (F.col("x.root") != F.col("y.root")) & ((F.col("y.root") == F.col("y.most")) | (F.col("x.cls") < F.col("y.cls")))
-        & (7 * F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place")) >= 3 * (F.col("x.n") + F.col("y.n"))))
+        "x.root <> y.root AND (y.root = y.most OR x.cls < y.cls) AND 4 * least(x.n, y.n) >= 3 * greatest(x.n, y.n)"
+        " AND 7 * least(x.n - x.place, y.n - y.place) >= 3 * (x.n + y.n)"
+        f" AND 7 * ({differ}) <= x.n + y.n")
     late = across.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b"), F.lit(1).cast("bigint").alias("c")).distinct()
     left = _apart(near, roots).select("a", "b").unionByName(_near(late, maps).select("a", "b")).distinct()
     more = stage(_verified(left.join(done, ["a", "b"], "left_anti"), texts), "ngram-links")
