@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("basics", "provider", "tracking", "funnel", "quality", "quiz", "files")
+MODULES = ("basics", "provider", "tracking", "funnel", "quality", "integrity", "quiz", "files")
 
 
 def load_all() -> None:
