@@ -78,9 +78,23 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 # --- upserts --------------------------------------------------------------------------------------------------------
-def upsert_ignore(new: DataFrame, existing: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Existing rows plus new rows whose key is not there yet; one new row per key."""
-    fresh = new.dropDuplicates(list(key)).join(existing, list(key), "left_anti")
+def first_of_key(rows: DataFrame, key: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
+    """One row per key: the first by `order`, ties by the remaining columns in their order; nulls come first.
+
+    A minimum per key, added up on the map side, so a key that holds a third of the rows is one row per task.
+    """
+    rest = [c for c in rows.columns if c not in key]
+    ranked = [o.alias(f"o{i}") for i, o in enumerate(order)] + [F.col(c).alias(f"c{i}") for i, c in enumerate(rest)]
+    if not ranked:
+        return rows.distinct()
+    least = rows.groupBy(*key).agg(F.min(F.struct(*ranked)).alias("__first"))
+    kept = {c: F.col(f"__first.c{i}") for i, c in enumerate(rest)} | {k: F.col(k) for k in key}
+    return least.select(*[kept[c].alias(c) for c in rows.columns])
+
+
+def upsert_ignore(new: DataFrame, existing: DataFrame, key: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
+    """Existing rows plus new rows whose key is not there yet; of several new rows of a key the first by `order`, then by their columns."""
+    fresh = first_of_key(new, key, order).join(existing, list(key), "left_anti")
     return existing.unionByName(fresh.select(existing.columns))
 
 
