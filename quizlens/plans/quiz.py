@@ -421,9 +421,25 @@ def _lists(t: Tables, names: Sequence[str], alias: str, first_step_only: bool) -
     return rows.select("questionattemptid", F.col("attemptstepid").alias(f"{alias}_step"), F.col("value").alias(alias))
 
 
-def step_detail(t: Tables, first_step_only: bool = False) -> DataFrame:
+def _is_sub(name: str = "name") -> Column:
+    return F.col(name).startswith("sub")
+
+
+def _number(name: str, whole: bool) -> Column:
+    """The number in 'subN' or 'choiceN': the whole number, or the last digit, the rule of the older views (right only below ten)."""
+    if not whole:
+        return last_digit(F.col(name))
+    return F.coalesce(F.when(_is_sub(name), suffix_number(F.col(name), "sub")).otherwise(suffix_number(F.col(name), "choice")), F.lit(0))
+
+
+def _whole_value(name: str = "value") -> Column:
+    """The value as a number; text counts as 0."""
+    return F.coalesce(F.col(name).try_cast("int"), F.lit(0))
+
+
+def step_detail(t: Tables, first_step_only: bool = False, whole_numbers: bool = False) -> DataFrame:
     """Every step datum with stem and choice decoded from the order lists; places come from the last digit of the name,
-    the rule of the older views."""
+    the rule of the older views, or from the whole number."""
     stems = _lists(t, ["_stemorder", "_order"], "stem_str", first_step_only)
     choices = _lists(t, ["_choiceorder"], "choice_str", first_step_only)
     rows = (
@@ -433,23 +449,58 @@ def step_detail(t: Tables, first_step_only: bool = False) -> DataFrame:
     rows = rows.join(
         choices.select("questionattemptid", F.col("choice_str_step").alias("stem_str_step"), "choice_str"),
         ["questionattemptid", "stem_str_step"], "left")
-    sub, listed = F.col("name").startswith("sub"), is_choice("name")
-    stem = F.when(sub | listed, list_item(F.col("stem_str"), last_digit(F.col("name")) + 1)).otherwise(F.lit("0"))
-    choice = F.when(sub, list_item(F.col("choice_str"), F.coalesce(F.col("value").try_cast("int"), F.lit(0)))).otherwise(
-        F.lit("0"))
+    stem = F.when(_is_sub() | is_choice("name"), list_item(F.col("stem_str"), _number("name", whole_numbers) + 1)).otherwise(F.lit("0"))
+    choice = F.when(_is_sub(), list_item(F.col("choice_str"), _whole_value())).otherwise(F.lit("0"))
     return rows.withColumns({"stem": stem, "choice": choice})
 
 
-def step_detail_with_answers(t: Tables) -> DataFrame:
-    """Step detail of the first step's lists with the option each row speaks of."""
-    rows = step_detail(t, first_step_only=True)
-    place = F.when(F.col("name").startswith("sub") | is_choice("name"), last_digit(F.col("name")) + 1).when(
-        is_answer("name"), F.coalesce(F.col("value").try_cast("int"), F.lit(0)) + 1)
-    picked = list_item(F.col("stem_str"), place).try_cast("bigint")
+def _with_option(rows: DataFrame, t: Tables, picked: Column, own_question: bool) -> DataFrame:
+    """Value and text of the option whose id is `picked`; of the row's own question only, where asked."""
     options = t["question_answers"].select(
         F.col("id").alias("__picked"), F.col("question").alias("questionid"), F.col("fraction").alias("option_val"),
         F.col("answer").alias("option_txt"))
-    return rows.withColumn("__picked", picked).join(options, ["__picked", "questionid"], "left").drop("__picked")
+    on = ["__picked", "questionid"] if own_question else ["__picked"]
+    options = options if own_question else options.drop("questionid")
+    return rows.withColumn("__picked", picked.try_cast("bigint")).join(options, on, "left").drop("__picked")
+
+
+def step_detail_with_answers(t: Tables, whole_numbers: bool = False) -> DataFrame:
+    """Step detail of the first step's lists with the option each row speaks of."""
+    rows = step_detail(t, first_step_only=True, whole_numbers=whole_numbers)
+    place = F.when(_is_sub() | is_choice("name"), _number("name", whole_numbers) + 1).when(is_answer("name"), _whole_value() + 1)
+    return _with_option(rows, t, list_item(F.col("stem_str"), place), own_question=True)
+
+
+def step_detail_multiple_choice(t: Tables) -> DataFrame:
+    """The step view of multiple-choice questions: each datum of the first step is read as an order list, the choice is the datum's own value,
+    and an option is found by its id alone, whatever its question."""
+    lists = _steps_with_data(t).where(F.col("sequencenumber") == 0).select("questionattemptid", F.col("value").alias("stem_str"))
+    rows = _attempts_of_users(t).join(_steps_with_data(t, "left"), "questionattemptid").join(lists, "questionattemptid")
+    by_number, by_value = list_item(F.col("stem_str"), last_digit(F.col("name")) + 1), list_item(F.col("stem_str"), _whole_value() + 1)
+    stem = F.when(is_choice("name"), by_number).when(is_answer("name"), by_value).otherwise(F.lit("0"))
+    picked = F.when(_is_sub() | is_choice("name"), by_number).when(is_answer("name"), by_value)
+    rows = rows.withColumns({"stem": stem, "choice": F.col("value"), "choice_str": F.col("stem_str")})
+    return _with_option(rows, t, picked, own_question=False)
+
+
+def matrix_answers(t: Tables) -> DataFrame:
+    """What learners put into the cells of matrix questions: one row per 'subN' datum, (question attempt, step, stem place, choice place, stem,
+    choice), both places from 1.
+
+    The stem stands at N + 1 in the list of stems, the choice at the datum's value in the list of choices; both lists come from one fold of the
+    first step's data by question attempt, so they arrive in one row and numbers above nine are read whole. A place outside its list, and a
+    value that is no number, has a null stem or choice; an attempt without lists keeps its rows with both null.
+    """
+    data = _steps_with_data(t)
+    lists = data.where((F.col("sequencenumber") == 0) & F.col("name").isin("_stemorder", "_order", "_choiceorder")).groupBy("questionattemptid").agg(
+        F.split(F.max(F.when(F.col("name") != "_choiceorder", F.col("value"))), ",").alias("stems"),
+        F.split(F.max(F.when(F.col("name") == "_choiceorder", F.col("value"))), ",").alias("choices"))
+    cells = data.where(_is_sub()).select(
+        "questionattemptid", "attemptstepid", (suffix_number(F.col("name"), "sub") + 1).alias("stem_place"),
+        F.col("value").try_cast("int").alias("choice_place"))
+    return cells.join(lists, "questionattemptid", "left").select(
+        "questionattemptid", "attemptstepid", "stem_place", "choice_place", F.get("stems", F.col("stem_place") - 1).alias("stem"),
+        F.get("choices", F.col("choice_place") - 1).alias("choice"))
 
 
 def answer_steps(t: Tables, value: str | None = None) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("basics", "provider", "tracking", "funnel", "quality", "integrity", "quiz", "files", "merging")
+MODULES = ("basics", "provider", "tracking", "funnel", "quality", "integrity", "quiz", "matrix", "files", "merging")
 
 
 def load_all() -> None:
