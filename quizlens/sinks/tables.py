@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JError
@@ -35,10 +36,33 @@ def append_rows(spark: SparkSession, rows: Sequence[tuple], schema: str, path: s
     append(spark.createDataFrame(list(rows), schema), path)
 
 
+# fixed values: the charsets that Spark writes and reads without its setting for all of Java's
+SPARK_CHARSETS = {"US-ASCII", "ISO-8859-1", "UTF-8", "UTF-16BE", "UTF-16LE", "UTF-16", "UTF-32"}
+
+
+@contextmanager
+def java_charsets(spark: SparkSession, encoding: str) -> Iterator[None]:
+    """Lets the actions inside use any charset Java knows, e.g. windows-1251; the session's own setting is put back."""
+    name = "spark.sql.legacy.javaCharsets"
+    before = spark.conf.get(name, None)
+    if encoding.upper() in SPARK_CHARSETS:
+        yield
+        return
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def export_csv(df: DataFrame, path: str, sep: str = ";", encoding: str = "UTF-8") -> None:
-    """CSV for spreadsheets. Code page 1251 needs spark.sql.legacy.javaCharsets=true in the session."""
-    df.write.mode("overwrite").csv(path, sep=sep, header=True, encoding=encoding, ignoreLeadingWhiteSpace=False,
-                                   ignoreTrailingWhiteSpace=False)
+    """CSV for spreadsheets, in any charset Java knows, e.g. windows-1251."""
+    with java_charsets(df.sparkSession, encoding):
+        df.write.mode("overwrite").csv(path, sep=sep, header=True, encoding=encoding, ignoreLeadingWhiteSpace=False,
+                                       ignoreTrailingWhiteSpace=False)
 
 
 def export_json(df: DataFrame, path: str) -> None:

@@ -12,10 +12,10 @@ from quizlens.schemas import STRUCTURE_FILE
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: str, sep: str = ",", header: bool = True,
-             escape: str = "\\", multi_line: bool = True) -> DataFrame:
+             escape: str = "\\", multi_line: bool = True, encoding: str = "UTF-8") -> DataFrame:
     """CSV with quoted text over several lines. A file with multi_line is read by one task; turn it off for files
-    known to have one record per line, which Spark then splits."""
-    return spark.read.csv(path, schema=schema, sep=sep, header=header, escape=escape, multiLine=multi_line)
+    known to have one record per line, which Spark then splits. Stage the rows of a file in a charset of Java's own inside java_charsets."""
+    return spark.read.csv(path, schema=schema, sep=sep, header=header, escape=escape, multiLine=multi_line, encoding=encoding)
 
 
 def read_structure_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("basics", "provider", "tracking", "funnel", "quality", "integrity", "quiz", "matrix", "files", "merging", "exports")
+MODULES = ("basics", "provider", "tracking", "funnel", "quality", "integrity", "quiz", "matrix", "files", "delivery", "merging", "exports")
 
 
 def load_all() -> None:

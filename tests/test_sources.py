@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from quizlens.operators import submissions as S
 from quizlens.operators.testbank import extract_test_bank, listed_options, rejected_elements
 from quizlens.operators.tree import build_tree, parse_structure
+from quizlens.sinks import tables as W
 from quizlens.sources import archives as A
 from quizlens.sources import files as R
 
@@ -196,3 +197,12 @@ def test_existing_nodes_are_kept(spark):
     tree = build_tree(parse_structure(raw, keep=["line_no"]), course, old)
     assert rows(tree["chapter"], "id", "name") == [(77, "old")]
     assert rows(tree["sequential"], "chapter_id") == [(77,)]
+
+
+def test_code_page_of_an_export(spark, tmp_path):
+    df = spark.createDataFrame([(1, "Верно"), (2, "Неверно; нет"), (3, None)], "id INT, answer STRING")
+    before = spark.conf.get("spark.sql.legacy.javaCharsets")
+    W.export_csv(df.coalesce(1), str(tmp_path / "out"), encoding="windows-1251")
+    assert spark.conf.get("spark.sql.legacy.javaCharsets") == before
+    part = next((tmp_path / "out").glob("*.csv"))
+    assert part.read_bytes().decode("cp1251").splitlines() == ["id;answer", "1;Верно", '2;"Неверно; нет"', "3;"]
