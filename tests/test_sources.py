@@ -111,7 +111,7 @@ def test_other_inputs_and_rejects(spark, tmp_path):
     assert rows(out.where("question_id = 'q2'"), *S.OPTION) == [(None, "7", None, None, "8", ""), (None, "7", None, None, "9", "")]
     assert rows(out.where("question_id = 'q3'"), *S.OPTION) == [(None, "hi", True, False, "hello", ""), (None, "hi", True, True, "hi", "")]
     assert rows(S.unknown_inputs(log), "question_id", "input_type") == [("q4", "drawing")]
-    assert rows(S.log_counters(log)) == [("a.gz", 7, 4, 1)]
+    assert rows(S.log_counters(log)) == [("a.gz", 7, 4, 0, 1)]
     assert rows(S.checks_per_file(log)) == [("a.gz", 4)]
     assert S.publish_times(log).count() == 1
     assert rows(S.input_profile(log)) == [("drawing|d",), ("formulaequationinput|n",), ("optioninput|o",), ("textline|s",)]
