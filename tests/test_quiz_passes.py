@@ -66,3 +66,9 @@ def test_questions_need_no_join_and_no_values(spark):
     marked = Z.first_attempt_questions(cube.withColumn("qasd_value", F.when(F.col("qasd_value").isNotNull(), F.lit(""))))
     assert rows(out) == rows(marked)
     assert rows(out, "qa_id", "qtype", "response_score") == [(1, "checkbox", 1.0), (1, "checkbox", None)]
+
+
+def test_options_of_the_last_step_meet_every_list_and_read_the_data_once(spark):
+    out = Z.last_step_options(views(spark, [(10, "_order", "72,73"), (10, "_order", "73"), (10, "choice0", "0"), (11, "choice1", "1"), (12, "answer", "0")]))
+    assert optimized(out).count("Join ") == 4  # steps with data, question attempts, listed answers, options
+    assert rows(out, "questionattemptid", "attemptstepid", "stem", "choice", "option_txt") == sorted([(5, 11, 73, 1, "c"), (5, 11, None, 1, None)], key=repr)
