@@ -8,6 +8,7 @@ import pytest
 from helpers import rows
 
 from quizlens.operators import submissions as S
+from quizlens.sources import archives as A
 from quizlens.sources import files as R
 from quizlens.sources import typed as L
 
@@ -40,6 +41,20 @@ def test_numbers_of_records_over_many_batches(spark, tmp_path, monkeypatch):
     assert load.rows.count() == 3000 - len(wrong)
 
 
+def test_one_large_member_is_parsed_in_blocks_cut_at_ends_of_records(spark, tmp_path, monkeypatch):
+    lines = [f'{i},{"?" if i % 10 == 3 else i},2020-01-01,"a ""{i}""\n\\"b\\", c",true' + (",more" if i % 7 == 0 else "") for i in range(1, 301)]
+    with zipfile.ZipFile(tmp_path / "one.zip", "w") as z:
+        z.writestr("t.csv", "id,price,day,name,ok\n" + "\n".join(lines))
+    monkeypatch.setattr("quizlens.sources.archives.TEXT_BYTES", 500)
+    files = R.list_files(spark, str(tmp_path), ".zip")
+    blocks = A.read_members(files, "t.csv", SCHEMA, numbered=True).groupBy(A.BLOCK).count().collect()
+    assert len(blocks) > 10 and max(b["count"] for b in blocks) < 60
+    load = L.load_members(files, "t.csv", SCHEMA)
+    wrong = {(i, L.FIELDS) for i in range(1, 301) if i % 7 == 0} | {(i, "not a double") for i in range(1, 301) if i % 10 == 3 and i % 7}
+    assert {(r.line, r.reason) for r in load.rejected.collect()} == wrong
+    assert rows(load.rows, "id", "name") == sorted([(i, f'a "{i}"\n"b", c') for i in range(1, 301) if i % 7 and i % 10 != 3], key=repr)
+
+
 @pytest.mark.parametrize("packed", [False, True])
 def test_csv_records_are_rows_or_rejects(spark, tmp_path, packed):
     lines = ["id;price;day;name;ok"] + [f"{i};{'?' if i % 10 == 3 else i};2020-01-01;n{i};true" if i % 10 else f"{i};1" for i in range(1, 201)]
