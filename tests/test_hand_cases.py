@@ -221,3 +221,13 @@ def test_quartiles_add_up(spark):
     assert heat.strong_denom + heat.weak_denom + middle == heat.cnt == 400
     assert heat.d > 0
     assert tuple(ranked.agg(F.min("rnk"), F.max("rnk")).first()) == (1, 400)
+
+
+def test_filtered_step_signatures_read_kept_steps_from_files(spark):
+    import suite.quality
+
+    steps = spark.createDataFrame([(1, 11, 1, "answer"), (1, 12, 2, "_order"), (1, 13, 3, None), (2, 21, 1, "answer"), (3, 31, 1, "_order"), (4, 41, 1, None)],
+                                  "qa_id BIGINT, qas_id BIGINT, qas_sequencenumber INT, qasd_name STRING")
+    got = suite.quality.quality_step_signatures_filtered({"q_steps": steps})
+    assert got.inputFiles() and all("kept-steps" in f for f in got.inputFiles())
+    assert [tuple(r) for r in got.collect()] == [(3, ["1:answer", "2:_order", "3:"], 1, 1, 1)]
