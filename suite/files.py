@@ -252,9 +252,13 @@ def log_lines(t, *keep):
     return t["lineitem"].repartition(t.spark.sparkContext.defaultParallelism).select(line.alias("value"), *keep)
 
 
+LOG_FILE_LINES = 200_000
+
+
 def read_log(t):
     path = scratch_path(t.spark, "log")
-    log_lines(t).write.text(path, compression="gzip")  # one file per task
+    # a gzipped file is read by one task, so files are bounded and their number grows with the log
+    log_lines(t).write.option("maxRecordsPerFile", LOG_FILE_LINES).text(path, compression="gzip")
     return R.read_event_log(t.spark, path)
 
 

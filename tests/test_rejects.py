@@ -6,11 +6,14 @@ import zipfile
 
 import pytest
 from helpers import rows
+from pyspark.sql import functions as F
 
 from quizlens.operators import submissions as S
 from quizlens.sources import archives as A
 from quizlens.sources import files as R
 from quizlens.sources import typed as L
+import suite.files
+from suite.registry import Tables
 
 SCHEMA = "id INT, price DOUBLE, day DATE, name STRING, ok BOOLEAN"
 
@@ -116,3 +119,11 @@ def test_rejects_of_the_log(spark, tmp_path):
     assert {r.line_no for r in S.flatten_submissions(log, since).collect()} == {1, 7}
     assert S.log_counters(log).first().bad_times == 2
     assert {(r.line_no, r.reason) for r in S.log_rejects(log).collect()} >= {(2, "unreadable line"), (5, "unknown kind")}
+
+
+def test_written_log_files_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(suite.files, "log_lines", lambda t: spark.range(0, 1000, 1, 2).select(F.to_json(F.struct(F.lit("problem_publish").alias("event_type"), "id")).alias("value")))
+    monkeypatch.setattr(suite.files, "LOG_FILE_LINES", 150)
+    per_file = suite.files.read_log(Tables(spark, "")).groupBy("archive").agg(F.count(F.lit(1)).alias("n"), F.max("line_no").alias("last")).collect()
+    assert sum(r["n"] for r in per_file) == 1000 and len(per_file) == 8
+    assert all(r["n"] == r["last"] <= 150 for r in per_file)
