@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as the next one's docs. All but the
 last return the columns of `documents`. Rejected are toxic documents and all but one of each group of near duplicates; every other
-document goes through. Secrets are cut out of the texts, the mix is the order of the rows, the last stage returns the bins.
+document goes through. Secrets are cut out of the texts, the mix is the order of the rows, the last stage returns the bins, packed along that order.
 """
 
 from __future__ import annotations
@@ -44,8 +44,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_bins(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents in bins of 2048 words: a row per piece."""
-    return packing.pack(docs, packing.word_count(docs["text"]), packing.copies(docs["text"]))
+    """All documents in bins of 2048 words: a row per piece; numbers of bins follow the mixed order stretch by stretch."""
+    return packing.pack(docs, packing.word_count(docs["text"]), packing.copies(docs["text"]), order=packing.read_order(docs))
 
 
 STAGES = [

@@ -9,6 +9,9 @@ A text longer than a bin is cut into full pieces and a rest; nothing is dropped.
 id and number, each shard is packed by itself in bounded memory, and only the last bins of each shard stay emptier than a single
 packer's would. A cluster or source that holds a third of all pieces is spread over all shards.
 
+With `order` the shards are stretches of that order instead, numbered along it: bins sorted by number then follow a mix of the sources,
+and each stretch of bins has the mix's proportions.
+
 Defined results: null texts and texts without words have size 0 and are packed as such (piece 0). A null cluster conflicts with
 nothing; a null source is a source. Repeated rows are packed each for itself. An empty table gives an empty result. Other columns
 are left out.
@@ -21,7 +24,8 @@ from collections import Counter
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quizlens.sinks.stage import stage
@@ -73,18 +77,47 @@ def copies(text: Column) -> Column:
     return F.when(word_count(text) > 0, F.xxhash64(text))
 
 
+def read_order(docs: DataFrame) -> tuple[Column, Column]:
+    """File and row in the file of rows read from Parquet files, which Spark numbers in the order they were written; partition and row of other frames."""
+    try:
+        docs.select("_metadata.file_name", "_metadata.row_index")
+    except AnalysisException:
+        return F.lpad(F.spark_partition_id().cast("string"), 10, "0"), F.monotonically_increasing_id()
+    return F.col("_metadata.file_name"), F.col("_metadata.row_index")
+
+
+def _positions(rows: DataFrame, pieces: Column, chunk_rows: int = 1024) -> DataFrame:
+    """rows with `at`, the number of pieces before each row's own in the order of file and row; summed within chunks, over chunks and over files."""
+    rows = rows.withColumns({"chunk": F.floor(F.col("row") / F.lit(chunk_rows)), "pieces": pieces})
+    chunks = rows.groupBy("file", "chunk").agg(F.sum("pieces").alias("n"))
+    files = chunks.groupBy("file").agg(F.sum("n").alias("n"))
+
+    def before(n: str, window) -> Column:
+        return F.coalesce(F.sum(n).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    files = files.select("file", before("n", Window.orderBy("file")).alias("file_at"))
+    chunks = chunks.select("file", "chunk", before("n", Window.partitionBy("file").orderBy("chunk")).alias("chunk_at")).join(files, "file")
+    placed = rows.withColumn("row_at", before("pieces", Window.partitionBy("file", "chunk").orderBy("row"))).join(chunks, ["file", "chunk"])
+    return placed.withColumn("at", F.col("file_at") + F.col("chunk_at") + F.col("row_at"))
+
+
 def pack(docs: DataFrame, size: Column, cluster: Column, capacity: int = 2048, per_source: int = 2, shard_pieces: int = 4096,
-         id: str = "doc_id", source: str = "source") -> DataFrame:
+         id: str = "doc_id", source: str = "source", order: tuple[Column, Column] | None = None) -> DataFrame:
     """One row per piece: id, piece, start and size in tokens, bin_id, place in the bin."""
+    file, row = order or (F.lit(None).cast("string"), F.lit(None).cast("bigint"))
     rows = stage(docs.select(docs[id].alias("doc_id"), docs[source].cast("string").alias("source"), F.coalesce(size, F.lit(0)).cast("bigint").alias("total"),
-                             cluster.cast("bigint").alias("cluster")), "packing-sizes")
+                             cluster.cast("bigint").alias("cluster"), file.alias("file"), row.cast("bigint").alias("row")), "packing-sizes")
     last = F.floor(F.greatest(F.col("total") - 1, F.lit(0)) / F.lit(capacity)).cast("bigint")
-    pieces = rows.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("piece"))
-    pieces = pieces.select("doc_id", "source", "cluster", "piece", (F.col("piece") * capacity).alias("start"),
+    placed = rows.withColumn("at", F.lit(0)) if order is None else _positions(rows, last + 1)
+    pieces = placed.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("piece"))
+    pieces = pieces.select("doc_id", "source", "cluster", "piece", (F.col("at") + F.col("piece")).alias("at"), (F.col("piece") * capacity).alias("start"),
                            F.least(F.lit(capacity), F.col("total") - F.col("piece") * capacity).cast("bigint").alias("size"))
-    n = rows.agg(F.coalesce(F.sum(last + 1), F.lit(0))).first()[0]
-    shards = -(-n // shard_pieces) or 1
-    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "size"), F.lit(shards)).cast("bigint"))
+    if order is None:
+        n = rows.agg(F.coalesce(F.sum(last + 1), F.lit(0))).first()[0]
+        shard = F.pmod(F.xxhash64("doc_id", "piece", "size"), F.lit(-(-n // shard_pieces) or 1))
+    else:
+        shard = F.floor(F.col("at") / F.lit(shard_pieces))
+    dealt = pieces.withColumn("shard", shard.cast("bigint")).drop("at")
 
     def run(group: pa.Table) -> pa.Table:
         g = group.to_pydict()

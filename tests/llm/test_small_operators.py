@@ -203,3 +203,20 @@ def test_toxicity_odd_input(docs_of):
 def test_swapped_terms():
     assert toxicity.swapped({b"women", b"x"}) == {b"men", b"x"}
     assert toxicity.swapped({b"x"}) is None
+
+
+def test_bins_follow_the_order_of_the_files_they_are_read_from(spark, tmp_path):
+    import corpus_pipeline
+
+    def shards(number):
+        """Pieces of the documents, dealt along the order in which `number` puts them."""
+        docs = spark.range(0, 9000, 1, 3).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("text"), "id").alias("text"), F.lit("en").alias("lang"),
+                                                 (F.col("id") % 50).cast("string").alias("source"), F.lit(9).cast("bigint").alias("n_chars"), number.alias("k"))
+        path = str(tmp_path / str(len(list(tmp_path.iterdir()))))
+        docs.repartitionByRange(5, "k").sortWithinPartitions("k").drop("k").write.parquet(path)
+        got = corpus_pipeline.pack_bins(spark, spark.read.parquet(path), "").collect()
+        assert sorted(r.doc_id for r in got) == list(range(9000))
+        return {r.doc_id: r.bin_id >> 32 for r in got}
+
+    assert shards(F.col("id")) == {i: i // 4096 for i in range(9000)}
+    assert shards(-F.col("id")) == {i: (8999 - i) // 4096 for i in range(9000)}
