@@ -101,8 +101,9 @@ def _entries(tables: Mapping[str, DataFrame], schemas: Mapping[str, StructType],
         if isinstance(rule, Parent) and rule.parent == table:
             key = F.array(*[_text(f, schema) for f in rule.fields])
             out.append(F.when(filled(rule.fields), _entry(number, key, 0, 1)))
+    # gaps are left out after the explosion: both run as generated code
     listed = F.array(*[e.cast(ENTRY) for e in out])
-    return tables[table].select(F.explode(F.array_compact(listed)).alias("__entry")).select("__entry.*")
+    return tables[table].select(F.explode(listed).alias("__entry")).where(F.col("__entry").isNotNull()).select("__entry.*")
 
 
 def _broken(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
