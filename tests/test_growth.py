@@ -108,9 +108,10 @@ def test_statistics_of_a_staged_table(spark):
     assert rows(with_group_stats(stage(df), ["test"], True, n=F.sum("q"))) == rows(with_group_stats(df, ["test"], n=F.sum("q")))
 
 
-def test_staged_tables_are_written_small(spark):
-    files = stage(answers(spark)).inputFiles()
-    assert files and all(f.endswith(".zstd.parquet") for f in files)
+def test_staged_tables_are_written_in_the_named_codec(spark):
+    for codec, end in (("zstd", ".zstd.parquet"), (None, ".snappy.parquet")):
+        files = stage(answers(spark), "codec", codec).inputFiles()
+        assert files and all(f.endswith(end) for f in files)
 
 
 def test_entries_of_constraints_run_as_generated_code(spark):
