@@ -13,7 +13,8 @@ follow from the sizes. For sets of n and m elements a link needs an overlap of a
    overlap cannot be reached. Longer columns are not multiplied out: each document is paired with the column's smallest only.
 3. Pairs are cut by a second bound, the number of bits in which the sets' parity bitmaps differ (at most the size of the symmetric difference).
 4. In each of a few rounds every component (at first, every class) verifies its pair with the largest partial overlap to another one on whole texts,
-   and links join components; long columns offer one pair between each of their components and their largest one, another one each round. What is left are pairs
+   and links join components; long columns offer one pair between each of their components and their largest one, another one each round. The rounds end
+   early when the last step has few pairs to look at, or a round left it more than half of them. What is left are pairs
    between different components; those of long columns are made now, between the documents outside a column's largest component and
    all others. Places, sizes and signatures (bitmaps folded to 1024 bits) cut them inside the join; the rest is verified. No link between different texts is lost, and a group of copies is never
    multiplied out.
@@ -43,6 +44,7 @@ from quizlens.sinks.stage import stage
 CHUNK = 1 << 20
 ENTRIES = 1 << 20  # entries of a block, and pairs held before they are added up
 CLASSES = 1 << 18  # classes of a shard
+PAIRS_EACH = 32  # pairs for each entry of a long column that the last step may look at without another round
 SIGNS = [f"s{k}" for k in range(16)]  # columns of a signature
 
 
@@ -332,9 +334,10 @@ def join(docs: DataFrame, text: str = "text", id: str = "doc_id", max_frequent:
 
     # 3. and 4. in each round every component verifies its strongest pair to another one; then all that still lies between components
     near = stage(_near(pairs.unionByName(stars), maps), "ngram-pairs")
-    links, done = near.select("a", "b").limit(0), near.select("a", "b").limit(0)
+    done = near.select("a", "b").limit(0)
     roots = near.select(F.col("a").alias("id"), F.col("b").alias("root")).limit(0)
     open_columns = stage(_open_columns(long, roots), "ngram-open")
+    ahead = None  # pairs of long columns that the last step has to look at
     for turn in range(rounds):
         crossing = _apart(near.unionByName(_near(_list_pairs(open_columns, turn), maps)).join(done, ["a", "b"], "left_anti"), roots)
         ends = crossing.select(F.explode(F.array("ra", "rb")).alias("root"), "c", "a", "b")
@@ -342,9 +345,13 @@ def join(docs: DataFrame, text: str = "text", id: str = "doc_id", max_frequent:
         if best.isEmpty():  # every pair has been decided
             break
         done = stage(done.unionByName(best), "ngram-done")
-        links = stage(links.unionByName(_verified(best, texts)), "ngram-links")
-        roots = components(links)
+        # a component's ids hang on its root, so the links of earlier rounds are not needed again
+        roots = components(_hung(roots).unionByName(stage(_verified(best, texts), "ngram-links")))
         open_columns = stage(_open_columns(long, roots), "ngram-open")
+        held, before = open_columns.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.when(F.col("root") != F.col("most"), F.col("size"))), F.lit(0))).first(), ahead
+        ahead = held[1]
+        if ahead <= PAIRS_EACH * held[0] or (before is not None and 2 * ahead > before):
+            break
 
     # a pair leaves the join only if its places in the column, its sizes and its signatures allow a link
     signed = stage(open_columns.join(members.select("cls", *SIGNS), "cls"), "ngram-open")
@@ -357,7 +364,7 @@ def join(docs: DataFrame, text: str = "text", id: str = "doc_id", max_frequent:
     late = across.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b"), F.lit(1).cast("bigint").alias("c")).distinct()
     left = _apart(near, roots).select("a", "b").unionByName(_near(late, maps).select("a", "b")).distinct()
     more = stage(_verified(left.join(done, ["a", "b"], "left_anti"), texts), "ngram-links")
-    roots = components(links.unionByName(more))
+    roots = components(_hung(roots).unionByName(more))
 
     named = _with_root(rows.where("n > 0").groupBy("cls").agg(F.min("id").alias("least")), "cls", roots, "root")
     smallest = named.groupBy("root").agg(F.min("least").alias("component"))
@@ -417,13 +424,17 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "ta", "tb").mapInArrow(check, "a BIGINT, b BIGINT")
 
 
+def _hung(roots: DataFrame) -> DataFrame:
+    """The components as links of each id to its root."""
+    return roots.select(F.col("id").alias("a"), F.col("root").alias("b"))
+
+
 def _open_columns(long: DataFrame, roots: DataFrame) -> DataFrame:
-    """Entries of the long columns that hold several components, with their component and the column's largest one."""
+    """Entries of the long columns that hold several components, with their component, the column's largest one and the column's size."""
     entries = _with_root(long, "cls", roots, "root")
-    mixed = entries.groupBy("g").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("g")
-    entries = entries.join(mixed, "g")
-    largest = entries.groupBy("g", "root").count().groupBy("g").agg(F.max(F.struct("count", "root")).alias("m")).select("g", F.col("m.root").alias("most"))
-    return entries.join(largest, "g")
+    parts = entries.groupBy("g", "root").count()
+    columns = parts.groupBy("g").agg(F.max(F.struct("count", "root")).alias("m"), F.sum("count").alias("size"), F.count(F.lit(1)).alias("parts"))
+    return entries.join(columns.where("parts > 1").select("g", F.col("m.root").alias("most"), "size"), "g")
 
 
 def _list_pairs(open_columns: DataFrame, turn: int) -> DataFrame:

@@ -9,10 +9,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from quizlens.llm import components as graph
 from quizlens.llm import jaccard, ngram_lm, topk
 from quizlens.llm.components import components
 from quizlens.llm.shingles import shingle_sets
 from quizlens.llm.text import text_bytes
+from quizlens.sinks.stage import stage
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -121,6 +123,34 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a BIGINT, b BIGINT")).count() == 0
 
 
+def test_components_stop_at_stars(spark, monkeypatch):
+    """Links that already hang on the smallest id of their component are returned as they are; before, each call went through a whole round more."""
+    staged = []
+    monkeypatch.setattr(graph, "stage", lambda df, name: staged.append(name) or stage(df, name))
+    edges = [(1, i) for i in range(2, 30)] + [(40, 41), (42, 40)]
+    assert {r.id: r.root for r in components(spark.createDataFrame(edges, "a BIGINT, b BIGINT")).collect()} == {i: 1 for i in range(2, 30)} | {41: 40, 42: 40}
+    assert len(staged) == 1
+    staged.clear()
+    edges.append((41, 5))  # a leaf of one star on a leaf of the other
+    assert {r.id: r.root for r in components(spark.createDataFrame(edges, "a BIGINT, b BIGINT")).collect()} == {i: 1 for i in [*range(2, 30), 40, 41, 42]}
+    assert len(staged) > 1
+
+
+@pytest.mark.parametrize("few", [jaccard.PAIRS_EACH, 0])
+def test_rounds_end_when_little_is_left(docs_of, monkeypatch, few):
+    """A chain takes several rounds to grow together; the last step finds the same links when it has few pairs to look at."""
+    calls = []
+    whole = jaccard._verified
+    monkeypatch.setattr(jaccard, "_verified", lambda *a: calls.append(1) or whole(*a))
+    monkeypatch.setattr(jaccard, "PAIRS_EACH", few)
+    chain = [f"w{k}" for k in range(200)]
+    rows = [(k, " ".join(chain[k : k + 60])) for k in range(100)]
+    got = jaccard.join(docs_of(rows)).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == plain_components(rows)
+    if few:
+        assert len(calls) == 2  # one round and the last step
+
+
 def test_top_k_equals_all_scores(spark):
     rnd = random.Random(9)
     rows = [(i, [rnd.choice([0.0, 0.25, -0.5, 1.0, rnd.uniform(-1, 1)]) for _ in range(6)], 1) for i in range(400)]
