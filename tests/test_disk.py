@@ -7,12 +7,18 @@ import zlib
 from helpers import rows
 from pyspark.sql import functions as F
 
+from quizlens.plans import quiz as plans
 from quizlens.sinks import archives as Z
 from quizlens.sinks import tables as W
 from quizlens.sinks.stage import FREED, at_once, freed_shuffles, shared_dir, stage, temporary
 from quizlens.sources import archives as A
 from quizlens.sources import typed as L
 from quizlens.sources.files import list_files
+from suite import load_all
+from suite import quiz as Q
+from suite.registry import ROLES, STORED, Tables
+
+load_all()
 
 
 def shuffle_files(spark):
@@ -90,3 +96,34 @@ def test_right_records_are_staged_without_their_lines(spark, tmp_path, monkeypat
     staged = spark.read.parquet(os.path.dirname(load.rows.inputFiles()[0]))
     assert staged.where("line IS NOT NULL").count() == 3 and all(f.endswith(".zstd.parquet") for f in staged.inputFiles())
     assert A.BLOCK in staged.columns and staged.select(A.BLOCK).distinct().count() > 3
+
+
+def test_option_marts_stage_the_log_once(spark, tmp_path, monkeypatch):
+    """The questions are read from the staged option rows; the last steps themselves are not staged and dealt anew."""
+    lines = [(o, s, n, "A" if (o + n) % 2 else "R", 3 * o + n) for o in range(1, 9) for s in (1, 2, 4) for n in (1, 2, 3)]
+    base = {
+        "lineitem": (lines, "l_orderkey LONG, l_suppkey LONG, l_linenumber INT, l_returnflag STRING, l_partkey LONG"),
+        "orders": ([(o, 20 + o % 4) for o in range(1, 9)], "o_orderkey LONG, o_custkey LONG"),
+        "supplier": ([(s, f"s{s}", s % 2) for s in (1, 2, 4)], "s_suppkey LONG, s_name STRING, s_nationkey INT"),
+        "nation": ([(n, f"n{n}", n) for n in (0, 1)], "n_nationkey INT, n_name STRING, n_regionkey INT"),
+        "region": ([(r, f"r{r}") for r in (0, 1)], "r_regionkey INT, r_name STRING"),
+        "customer": ([(c,) for c in (0, 1, 20, 21, 22, 23)], "c_custkey LONG")}
+    t = Tables(spark, str(tmp_path))
+    for name, (data, columns) in base.items():
+        spark.createDataFrame(data, columns).write.parquet(f"{tmp_path}/{name}.parquet")
+        t._made[name] = spark.read.parquet(f"{tmp_path}/{name}.parquet")
+    staged = []
+    for module in (Q, plans):
+        monkeypatch.setattr(module, "stage", lambda df, name="stage", *more: staged.append(name) or stage(df, name, *more))
+    p, options, questions = Q.options_and_questions(t)
+    assert [n for n in staged if n not in ("places", "scope")] == ["options", "questions"]
+    steps = plans.last_step_rows(Q.cube(t)[1])
+    want = plans.questions_of(steps)
+    assert want.count() > 5 and rows(questions, *sorted(want.columns)) == rows(want, *sorted(want.columns))
+    unread = ["qa_id", "response_score", "stem_fraction", "choice_fraction", "choice_answer"]
+    whole = plans.ranged_options(steps.drop(*Q.NO_OPTION), p["question_answers"], unread)
+    assert set(options.columns) == set(whole.columns) and rows(options, *whole.columns) == rows(whole)
+
+
+def test_step_data_that_are_read_once_are_not_staged(spark):
+    assert "x_data" in ROLES and "x_data" not in STORED
